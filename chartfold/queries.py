@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 
 from .functions.classify import value_type
 from .plans.flatten import flatten_appointments, flatten_observations, flatten_patient_program, latest_states
-from .plans.pivot import PivotSpec, build_catalog, catalog_frame, coded_answers, concept_types, widen
+from .operators.upsert import delete_insert, upsert_by_key
+from .plans import incremental as incr
+from .plans.pivot import ENCOUNTER_KEYS, PivotSpec, build_catalog, catalog_frame, coded_answers, concept_types, widen
 from .session import scratch_path
 from .sources.derived import ClinicalSource
 
@@ -130,6 +132,142 @@ def q_events_one_hot(spark, sf_dir):
     return widen(events_long(ev), EVENT_SPEC)
 
 
+# -- incremental family ------------------------------------------------------------
+
+# Cut points read off the data: ~1% of obs are created after INCR_T1, ~10% after UPSERT_T.
+INCR_T1 = _dt.datetime(2001, 10, 10)
+UPSERT_T = _dt.datetime(2001, 2, 24)
+RANGE_START = _dt.datetime(2001, 9, 1)
+RANGE_END = _dt.datetime(2001, 10, 31)
+FACTS = ("obs", "encounter", "visit", "patient_appointment", "patient_program", "patient_state")
+
+
+def _old_and_now(spark, sf_dir, t1):
+    now = source(spark, sf_dir)
+    return now.at(t1).tables(), now.tables()
+
+
+def raw_after_ingest(spark, sf_dir, t1):
+    """Stored raw tables as of ``t1`` with the changed rows since merged in (S2 + S3)."""
+    old, now = _old_and_now(spark, sf_dir, t1)
+    return old, incr.ingest(old, now, t1, names=FACTS)
+
+
+def q_cursor_scan(spark, sf_dir):
+    return incr.changed_rows(source(spark, sf_dir).table("obs"), INCR_T1)
+
+
+def q_high_water_marks(spark, sf_dir):
+    """The marks an increment starts from, one row per mark."""
+    old = source(spark, sf_dir).at(INCR_T1).tables()
+    fo = flatten_observations(old).agg(F.max("date_created").alias("value"))
+    fa = flatten_appointments(old, as_of=AS_OF)
+    marks = [fo.select(F.lit("obs_date_created").alias("mark"), "value"),
+             fa.agg(F.max("date_changed").alias("value")).select(
+                 F.lit("appointment_date_changed").alias("mark"), "value"),
+             fa.agg(F.max(F.greatest("date_changed", "date_created")).alias("value")).select(
+                 F.lit("appointment_changed_or_created").alias("mark"), "value")]
+    out = marks[0]
+    for m in marks[1:]:
+        out = out.unionByName(m)
+    return out
+
+
+def q_upsert_raw(spark, sf_dir):
+    old, now = _old_and_now(spark, sf_dir, UPSERT_T)
+    batch = incr.changed_rows(now["obs"], UPSERT_T)
+    return upsert_by_key(old["obs"], batch, ["obs_id"], order_by=["date_created"])
+
+
+def q_upsert_no_cursor(spark, sf_dir):
+    src = source(spark, sf_dir)
+    stored = src.table("drug_order").where(F.col("date_activated") < F.lit(UPSERT_T))
+    stored = stored.withColumn("dose", F.col("dose") - 1)   # stale values in the stored copy
+    return upsert_by_key(stored, src.table("drug_order"), spec_keys("drug_order"))
+
+
+def q_upsert_composite(spark, sf_dir):
+    src = source(spark, sf_dir)
+    ur = src.table("user_role")
+    stored = ur.where(F.col("user_id") % 2 == 0).unionByName(
+        ur.where(F.col("user_id") % 5 == 0).select("user_id", F.lit("Retired").alias("role")))
+    return upsert_by_key(stored, ur, spec_keys("user_role"))
+
+
+def spec_keys(name):
+    from .catalog import spec
+    return list(spec(name).keys)
+
+
+def q_upsert_evolving_columns(spark, sf_dir):
+    """Merge a batch with columns the stored wide table does not have yet."""
+    old, now = _old_and_now(spark, sf_dir, INCR_T1)
+    flat_old = materialize(flatten_observations(old), "flat_old")
+    narrow = PivotSpec(families=("coded", "numeric"))
+    target = widen(flat_old, narrow, catalog=build_catalog(flat_old, narrow))
+    flat_now = materialize(flatten_observations(now), "flat_now")
+    cat = build_catalog(flat_now)
+    batch = widen(flat_now.where(F.col("date_created") >= F.lit(INCR_T1)), catalog=cat)
+    new_onehot = [e.name for e in cat if e.family == "coded" and e.name not in target.columns]
+    return upsert_by_key(target, batch, list(ENCOUNTER_KEYS), order_by=["date_created"],
+                         fill={c: 0 for c in new_onehot})
+
+
+def _flat_pair(spark, sf_dir, t1):
+    old, raw = raw_after_ingest(spark, sf_dir, t1)
+    flat_old = materialize(flatten_observations(old), "flat_old")
+    return old, raw, flat_old
+
+
+def q_delete_insert_observations(spark, sf_dir):
+    _, raw, flat_old = _flat_pair(spark, sf_dir, INCR_T1)
+    return incr.refresh_flat_window(flat_old, raw)
+
+
+def q_delete_insert_no_bounds(spark, sf_dir):
+    _, raw = raw_after_ingest(spark, sf_dir, INCR_T1)
+    return incr.refresh_flat_window(None, raw)
+
+
+def q_delete_insert_appointments(spark, sf_dir):
+    old, raw = raw_after_ingest(spark, sf_dir, INCR_T1)
+    flat_old = materialize(flatten_appointments(old, as_of=AS_OF), "flat_appointments_old")
+    start = incr.high_water_mark(flat_old, F.greatest("date_changed", "date_created"))   # H4
+    changed = incr.changed_rows(raw["patient_appointment"], start).select("patient_appointment_id")
+    fresh = flatten_appointments({**raw, "patient_appointment": raw["patient_appointment"].join(
+        changed, "patient_appointment_id", "left_semi")}, as_of=AS_OF)
+    return delete_insert(flat_old, fresh, changed, "patient_appointment_id")
+
+
+def _wide_old(flat_old):
+    cat = build_catalog(flat_old)
+    return materialize(widen(flat_old, catalog=cat), "wide_old"), cat
+
+
+def q_widen_window_mode(spark, sf_dir):
+    _, raw, flat_old = _flat_pair(spark, sf_dir, INCR_T1)
+    wide_old, cat_old = _wide_old(flat_old)
+    start = incr.high_water_mark(flat_old, "date_created")
+    flat_new = materialize(incr.refresh_flat_window(flat_old, raw, start=start), "flat_new")
+    wide, _ = incr.refresh_wide_window(wide_old, cat_old, flat_new, start=start)
+    return wide
+
+
+def q_widen_range_mode(spark, sf_dir):
+    _, raw, flat_old = _flat_pair(spark, sf_dir, INCR_T1)
+    wide_old, cat_old = _wide_old(flat_old)
+    flat_new = materialize(incr.refresh_flat_window(flat_old, raw, RANGE_START, RANGE_END), "flat_new")
+    wide, _ = incr.refresh_wide_window(wide_old, cat_old, flat_new, RANGE_START, RANGE_END)
+    return wide
+
+
+def q_widen_touched_mode(spark, sf_dir):
+    _, raw, flat_old = _flat_pair(spark, sf_dir, INCR_T1)
+    wide_old, cat_old = _wide_old(flat_old)
+    wide, _, _ = incr.refresh_wide_touched(wide_old, cat_old, flat_old, raw, INCR_T1, materialize=materialize)
+    return wide
+
+
 def registry() -> dict:
     return {
         "flatten_observations": q_flatten_observations,
@@ -149,4 +287,16 @@ def registry() -> dict:
         "widen_long_plan": q_widen_long_plan,
         "widen_concept_subset": q_widen_concept_subset,
         "events_one_hot": q_events_one_hot,
+        "cursor_scan": q_cursor_scan,
+        "high_water_marks": q_high_water_marks,
+        "upsert_raw": q_upsert_raw,
+        "upsert_no_cursor": q_upsert_no_cursor,
+        "upsert_composite": q_upsert_composite,
+        "upsert_evolving_columns": q_upsert_evolving_columns,
+        "delete_insert_observations": q_delete_insert_observations,
+        "delete_insert_no_bounds": q_delete_insert_no_bounds,
+        "delete_insert_appointments": q_delete_insert_appointments,
+        "widen_window_mode": q_widen_window_mode,
+        "widen_range_mode": q_widen_range_mode,
+        "widen_touched_mode": q_widen_touched_mode,
     }

@@ -408,6 +408,23 @@ class ClinicalSource:
             F.col("l_shipdate").alias("date_created"),
             (F.col("l_linenumber") == 5).alias("voided"))
 
+    # -- tables merged without a cursor (full read + key merge) --------------
+    def _drug_order(self) -> DataFrame:
+        li = self.driver("lineitem").where(F.col("l_linenumber") == 1)
+        return li.select(
+            F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("drug_inventory_id"),
+            F.col("l_quantity").alias("dose"), _L("mg").alias("dose_units"),
+            F.concat(F.col("l_linestatus"), _L("-daily")).alias("frequency"),
+            F.col("l_shipdate").alias("date_activated"))
+
+    def _user_role(self) -> DataFrame:
+        s = self.driver("supplier")
+        k = F.col("s_suppkey")
+        main = s.select(k.alias("user_id"),
+                        F.when(k % 3 == 0, "Clinician").when(k % 3 == 1, "Nurse").otherwise("Clerk").alias("role"))
+        extra = s.where(k % 4 == 0).select(k.alias("user_id"), _L("Admin").alias("role"))
+        return main.unionByName(extra)
+
     def _events(self) -> DataFrame:
         return self.driver("events")
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as _dt
 from functools import lru_cache
 
 from . import sql as S
@@ -50,6 +51,109 @@ CATALOG_SQL = f"""
   FROM n"""
 
 
+INCR_T1 = "TIMESTAMP '2001-10-10 00:00:00'"
+UPSERT_T = "TIMESTAMP '2001-02-24 00:00:00'"
+RANGE = ("TIMESTAMP '2001-09-01 00:00:00'", "TIMESTAMP '2001-10-31 00:00:00'")
+_T1 = _dt.datetime(2001, 10, 10)
+_UT = _dt.datetime(2001, 2, 24)
+
+
+def _nullsafe(a: str, b: str, keys) -> str:
+    return " AND ".join(f"{a}.{k} IS NOT DISTINCT FROM {b}.{k}" for k in keys)
+
+
+def _incremental_ctes(extra: dict[str, str]) -> str:
+    return with_views("", extra=extra, snapshots={"old_": _T1})
+
+
+def _flat_refresh(cond_obs: str) -> str:
+    """flat_old minus obs in the window, plus the window re-flattened."""
+    return (f"SELECT * FROM flat_old WHERE obs_id NOT IN (SELECT obs_id FROM obs o WHERE {cond_obs})\n"
+            f"UNION ALL\n{S.flat_obs(extra='AND ' + cond_obs)}")
+
+
+def window_query(start: str | None = None, end: str | None = None) -> str:
+    if start is None:
+        cond = "o.date_created >= (SELECT s FROM m)"
+        rows = "date_created >= (SELECT s FROM m)"
+    else:
+        cond = f"o.date_created BETWEEN {start} AND {end}"
+        rows = f"date_created BETWEEN {start} AND {end}"
+    ctes = _incremental_ctes({
+        "flat_old": S.flat_obs("old_"),
+        "m": "SELECT max(date_created) AS s FROM flat_old",
+        "flat_new": _flat_refresh(cond)})
+    con = S._connect(S.ORACLE_SF_DIR)
+    old_cat = S.pivot_catalog(ctes, source="flat_old", con=con)
+    new_cat = S.pivot_catalog(ctes, source="flat_new", con=con)
+    con.close()
+    present = {(c, f, a) for _, c, f, a in old_cat}
+    wide_old = S.pivot_select(new_cat, "flat_old", present=present)
+    batch = S.pivot_select(new_cat, "flat_new", rows)
+    k2 = ("person_id", "encounter_id")
+    return (f"{ctes}, wide_old AS ({wide_old}), b AS ({batch})\n"
+            f"SELECT * FROM wide_old w WHERE NOT EXISTS (SELECT 1 FROM b WHERE {_nullsafe('b', 'w', k2)})\n"
+            f"UNION ALL BY NAME SELECT * FROM b")
+
+
+def evolving_query() -> str:
+    ctes = _incremental_ctes({"flat_old": S.flat_obs("old_"), "flat": S.flat_obs()})
+    con = S._connect(S.ORACLE_SF_DIR)
+    narrow = S.pivot_catalog(ctes, source="flat_old", families=("coded", "numeric"), con=con)
+    full = S.pivot_catalog(ctes, source="flat", con=con)
+    con.close()
+    tgt = S.pivot_select(narrow, "flat_old")
+    b = S.pivot_select(full, "flat", f"date_created >= {INCR_T1}")
+    tnames = {n for n, *_ in narrow}
+    fill = [n for n, c, f, a in full if f == "coded" and n not in tnames]
+    repl = ", ".join(f'coalesce("{n}", 0) AS "{n}"' for n in fill)
+    star = f"* REPLACE ({repl})" if fill else "*"
+    return (f"{ctes}, tgt AS ({tgt}), b AS ({b})\n"
+            f"SELECT {star} FROM (SELECT * FROM tgt t WHERE NOT EXISTS "
+            f"(SELECT 1 FROM b WHERE {_nullsafe('b', 't', S.KEYS)})\n"
+            f"UNION ALL BY NAME SELECT * FROM b)")
+
+
+def incremental_queries() -> dict[str, str]:
+    q = {}
+    q["cursor_scan"] = with_views(f"SELECT * FROM obs WHERE greatest(date_created, date_voided) >= {INCR_T1}")
+    q["high_water_marks"] = _incremental_ctes({"fo": S.flat_obs("old_"), "fa": S.flat_appointments("old_")}) + """
+      SELECT 'obs_date_created' AS mark, max(date_created) AS value FROM fo
+      UNION ALL SELECT 'appointment_date_changed', max(date_changed) FROM fa
+      UNION ALL SELECT 'appointment_changed_or_created', max(greatest(date_changed, date_created)) FROM fa"""
+    q["upsert_raw"] = with_views(f"""
+      , b AS (SELECT * FROM obs WHERE greatest(date_created, date_voided) >= {UPSERT_T})
+      SELECT * FROM old_obs WHERE obs_id NOT IN (SELECT obs_id FROM b)
+      UNION ALL BY NAME SELECT * FROM b""", snapshots={"old_": _UT})
+    q["upsert_no_cursor"] = with_views(f"""
+      SELECT * FROM (SELECT * REPLACE (dose - 1 AS dose) FROM drug_order WHERE date_activated < {UPSERT_T})
+      WHERE order_id NOT IN (SELECT order_id FROM drug_order)
+      UNION ALL BY NAME
+      SELECT * FROM drug_order QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY
+        drug_inventory_id DESC, dose DESC, dose_units DESC, frequency DESC, date_activated DESC) = 1""")
+    q["upsert_composite"] = with_views("""
+      SELECT * FROM (SELECT * FROM user_role WHERE user_id % 2 = 0
+                     UNION ALL SELECT user_id, 'Retired' FROM user_role WHERE user_id % 5 = 0) s
+      WHERE NOT EXISTS (SELECT 1 FROM user_role b WHERE b.user_id = s.user_id AND b.role = s.role)
+      UNION ALL SELECT * FROM user_role""")
+    q["upsert_evolving_columns"] = evolving_query()
+    q["delete_insert_observations"] = _incremental_ctes({
+        "flat_old": S.flat_obs("old_"), "m": "SELECT max(date_created) AS s FROM flat_old"}) + \
+        _flat_refresh("o.date_created >= (SELECT s FROM m)")
+    q["delete_insert_no_bounds"] = with_views(S.flat_obs())
+    q["delete_insert_appointments"] = _incremental_ctes({
+        "fa_old": S.flat_appointments("old_"),
+        "m": "SELECT max(greatest(date_changed, date_created)) AS s FROM fa_old",
+        "ch": "SELECT patient_appointment_id FROM patient_appointment "
+              "WHERE greatest(date_created, date_changed, date_voided) >= (SELECT s FROM m)"}) + \
+        ("SELECT * FROM fa_old WHERE patient_appointment_id NOT IN (SELECT patient_appointment_id FROM ch)\n"
+         "UNION ALL\n" + S.flat_appointments(extra="AND pa.patient_appointment_id IN "
+                                              "(SELECT patient_appointment_id FROM ch)"))
+    q["widen_window_mode"] = window_query()
+    q["widen_range_mode"] = window_query(*RANGE)
+    return q
+
+
 @lru_cache(maxsize=1)
 def registry() -> dict[str, str]:
     out = {
@@ -71,6 +175,8 @@ def registry() -> dict[str, str]:
         "events_one_hot": pivot_query(flat_sql=EVENTS_LONG, keys=("user_id", "day")),
     }
     out["widen_long_plan"] = out["widen_observations"]
+    out.update(incremental_queries())
+    out["widen_touched_mode"] = out["widen_observations"]   # touched increment == full rebuild
     for fam, name in (("coded", "pivot_coded_onehot"), ("numeric", "pivot_numeric"), ("text", "pivot_text"),
                       ("datetime", "pivot_datetime"), ("drug", "pivot_drug")):
         out[name] = pivot_query(families=(fam,))

@@ -192,14 +192,14 @@ def _unique(names, taken):
 
 
 def pivot_catalog(flat_sql_with_views: str, where: str = "", families=tuple(RANK),
-                  sf_dir: str | None = None, con=None):
-    """Discover (concept, family, answer, name) with DuckDB; ``flat_sql_with_views`` defines ``flat``."""
+                  sf_dir: str | None = None, con=None, source: str = "flat"):
+    """Discover (name, concept, family, answer) with DuckDB over the CTE ``source``."""
     own = con is None
     con = con or _connect(sf_dir or ORACLE_SF_DIR)
     sql = f"""{flat_sql_with_views}
       , d AS (SELECT DISTINCT concept_name AS c, {TYPE_CASE} AS f,
                 CASE WHEN {TYPE_CASE} = 'coded' THEN value_coded_name END AS a
-              FROM flat WHERE concept_name IS NOT NULL {where})
+              FROM {source} WHERE concept_name IS NOT NULL {where})
       SELECT c, f, a, {duck_safe('c')} AS cs, {duck_safe('a')} AS ans FROM d"""
     rows = con.execute(sql).fetchall()
     if own:
@@ -221,10 +221,16 @@ def pivot_catalog(flat_sql_with_views: str, where: str = "", families=tuple(RANK
     return [(n, e[0], e[3], e[4]) for n, e in zip(names, ent)]
 
 
-def pivot_select(catalog, source: str = "flat", where: str = "", keys=KEYS) -> str:
+NULL_TYPE = {"numeric": "DOUBLE", "text": "VARCHAR", "datetime": "TIMESTAMP", "drug": "BIGINT"}
+
+
+def pivot_select(catalog, source: str = "flat", where: str = "", keys=KEYS, present=None) -> str:
+    """``present``: identities the table had; others become 0 (one-hot) or NULL."""
     cols = []
     for name, c, f, a in catalog:
-        if f == "coded":
+        if present is not None and (c, f, a) not in present:
+            cols.append(f"0 AS \"{name}\"" if f == "coded" else f"CAST(NULL AS {NULL_TYPE[f]}) AS \"{name}\"")
+        elif f == "coded":
             cols.append(f"MAX(CASE WHEN concept_name = {_q(c)} AND value_coded_name = {_q(a)} "
                         f"THEN 1 ELSE 0 END) AS \"{name}\"")
         else:

@@ -240,6 +240,15 @@ def base_views(n_concepts: int = 25) -> dict[str, str]:
         concat('ps-', CAST({_obs_id('l_orderkey', 'l_partkey', 'l_suppkey', 'l_linenumber')} AS VARCHAR)) AS uuid,
         l_shipdate AS date_created, l_linenumber = 5 AS voided
       FROM lineitem WHERE l_orderkey % 4 = 0"""
+    v["drug_order"] = """
+      SELECT l_orderkey AS order_id, l_partkey AS drug_inventory_id, l_quantity AS dose,
+        'mg' AS dose_units, concat(l_linestatus, '-daily') AS frequency, l_shipdate AS date_activated
+      FROM lineitem WHERE l_linenumber = 1"""
+    v["user_role"] = """
+      SELECT s_suppkey AS user_id,
+        CASE s_suppkey % 3 WHEN 0 THEN 'Clinician' WHEN 1 THEN 'Nurse' ELSE 'Clerk' END AS role FROM supplier
+      UNION ALL
+      SELECT s_suppkey, 'Admin' FROM supplier WHERE s_suppkey % 4 = 0"""
     return v
 
 
