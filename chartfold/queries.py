@@ -17,8 +17,10 @@ from .plans.flatten import flatten_appointments, flatten_observations, flatten_p
 from .operators.upsert import delete_insert, upsert_by_key
 from .plans import incremental as incr
 from .plans.pivot import ENCOUNTER_KEYS, PivotSpec, build_catalog, catalog_frame, coded_answers, concept_types, widen
+from .plans import analytics as an
 from .session import scratch_path
 from .sources.derived import ClinicalSource
+from .sources.storage import VersionedTable
 
 AS_OF = _dt.date(2024, 1, 1)
 
@@ -268,6 +270,161 @@ def q_widen_touched_mode(spark, sf_dir):
     return wide
 
 
+# -- reporting ---------------------------------------------------------------------
+
+def _flat_wide(spark, sf_dir):
+    flat = flat_obs_table(spark, sf_dir)
+    return flat, widen(flat)
+
+
+def q_obs_count_by_concept(spark, sf_dir):
+    t = source(spark, sf_dir).tables(["obs", "concept_name"])
+    return an.obs_count_by_concept(t["obs"], t["concept_name"])
+
+
+def q_avg_vitals_by_visit(spark, sf_dir):
+    return an.avg_vitals_by_visit(flatten_observations(source(spark, sf_dir).tables()))
+
+
+def q_encounter_type_distribution(spark, sf_dir):
+    return an.encounter_type_distribution(_flat_wide(spark, sf_dir)[1])
+
+
+def q_lab_results_by_location(spark, sf_dir):
+    return an.lab_results_by_location(_flat_wide(spark, sf_dir)[1])
+
+
+def q_clinical_totals(spark, sf_dir):
+    return an.clinical_totals(flat_obs_table(spark, sf_dir))
+
+
+def q_top_locations(spark, sf_dir):
+    return an.top_locations(flat_obs_table(spark, sf_dir))
+
+
+def q_visit_frequency(spark, sf_dir):
+    return an.visit_frequency(flat_obs_table(spark, sf_dir))
+
+
+def q_daily_encounter_volume(spark, sf_dir):
+    return an.daily_encounter_volume(source(spark, sf_dir).table("encounter"))
+
+
+def q_encounter_types_by_location(spark, sf_dir):
+    return an.encounter_types_by_location(_flat_wide(spark, sf_dir)[1])
+
+
+def q_provider_productivity(spark, sf_dir):
+    return an.provider_productivity(flatten_appointments(source(spark, sf_dir).tables(), as_of=AS_OF))
+
+
+def q_missing_value_rates(spark, sf_dir):
+    return an.missing_value_rates(_flat_wide(spark, sf_dir)[1])
+
+
+def q_patient_vital_series(spark, sf_dir):
+    return an.patient_vital_series(flat_obs_table(spark, sf_dir))
+
+
+def q_duplicate_keys(spark, sf_dir):
+    return an.duplicate_keys(source(spark, sf_dir).table("drug_order"), spec_keys("drug_order"))
+
+
+def q_patients_with_identifiers(spark, sf_dir):
+    t = source(spark, sf_dir).tables(["person", "patient_identifier"])
+    return an.patients_with_identifiers(t["person"], t["patient_identifier"])
+
+
+def q_recent_encounters(spark, sf_dir):
+    t = source(spark, sf_dir).tables(["encounter", "person", "encounter_type", "location"])
+    return an.recent_encounters(t["encounter"], t["person"], t["encounter_type"], t["location"])
+
+
+def q_recent_observations(spark, sf_dir):
+    t = source(spark, sf_dir).tables(["obs", "concept_name"])
+    return an.recent_observations(t["obs"], t["concept_name"])
+
+
+# -- sources and sinks --------------------------------------------------------------
+
+def q_scan_catalog(spark, sf_dir):
+    """Scan every derived raw table of the catalog; one row count per table."""
+    src = source(spark, sf_dir)
+    parts = [src.table(n).agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(n).alias("table_name"), "n_rows")
+             for n in SCANNED_TABLES]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+SCANNED_TABLES = ("person", "person_name", "patient_identifier", "encounter", "encounter_type", "obs",
+                  "visit", "visit_type", "location", "provider", "concept_name", "program",
+                  "program_workflow", "program_workflow_state", "patient_program", "patient_state",
+                  "drug_order", "user_role", "patient_appointment", "appointment_service",
+                  "appointment_service_type")
+
+
+def q_replace_and_read(spark, sf_dir):
+    """Full replace twice (new version each time), read the current version back."""
+    table = VersionedTable(spark, "widened_observations", root=scratch_path(spark, "tables"))
+    flat = flat_obs_table(spark, sf_dir)
+    table.write(widen(flat, PivotSpec(families=("coded",))))
+    table.write(widen(flat))
+    cur = table.read()
+    return cur.agg(F.lit(table.versions()[-1]).alias("version"), F.count(F.lit(1)).alias("n_rows"),
+                   F.countDistinct("encounter_id").alias("n_encounters"))
+
+
+def q_bootstrap_or_increment(spark, sf_dir):
+    """First run finds no table and builds in full; the next run increments."""
+    root = scratch_path(spark, "tables")
+    src = source(spark, sf_dir)
+    for as_of in (INCR_T1, None):
+        refresh(spark, src.at(as_of), root, since=INCR_T1)
+    return VersionedTable(spark, "widened_observations", root=root).read()
+
+
+def refresh(spark, src: ClinicalSource, root: str, since=None) -> str:
+    """One scheduled run: full build when the wide table is missing, else a touched increment."""
+    flat_t = VersionedTable(spark, "flattened_observations", root=root)
+    wide_t = VersionedTable(spark, "widened_observations", root=root)
+    cat_t = VersionedTable(spark, "widened_catalog", root=root)
+    raw = src.tables()
+    if not wide_t.exists():
+        flat_t.write(flatten_observations(raw))
+        flat = flat_t.read()
+        cat = build_catalog(flat)
+        wide_t.write(widen(flat, catalog=cat))
+        cat_t.write(catalog_frame(spark, cat))
+        return "full"
+    from .plans.pivot import CatalogEntry
+    old_cat = [CatalogEntry(r.col_id, r.name, r.concept, r.family, r.answer)
+               for r in cat_t.read().orderBy("col_id").collect()]
+    wide, flat, cat = incr.refresh_wide_touched(wide_t.read(), old_cat, flat_t.read(), raw, since)
+    flat_t.write(flat)
+    wide_t.write(wide)
+    cat_t.write(catalog_frame(spark, cat))
+    return "increment"
+
+
+def q_stream_available_now(spark, sf_dir):
+    """Changed obs land as files; an availableNow stream key-merges them into raw obs."""
+    from .streaming.ingest import ingest_available
+    src = source(spark, sf_dir)
+    root = scratch_path(spark, "stream")
+    raw = VersionedTable(spark, "obs", root=root + "/tables")
+    raw.write(src.at(INCR_T1).table("obs"))
+    changed = incr.changed_rows(src.table("obs"), INCR_T1)
+    landing = root + "/landing/obs"
+    # two landings, as two scheduled extractions would leave them
+    cut = F.col("date_created") < F.lit(_dt.datetime(2001, 11, 1))
+    changed.where(cut).write.mode("append").parquet(landing)
+    changed.where(~cut).write.mode("append").parquet(landing)
+    ingest_available(spark, "obs", landing, raw, schema=changed.schema, checkpoint=root + "/checkpoint")
+    return raw.read()
+
+
 def registry() -> dict:
     return {
         "flatten_observations": q_flatten_observations,
@@ -299,4 +456,24 @@ def registry() -> dict:
         "widen_window_mode": q_widen_window_mode,
         "widen_range_mode": q_widen_range_mode,
         "widen_touched_mode": q_widen_touched_mode,
+        "obs_count_by_concept": q_obs_count_by_concept,
+        "avg_vitals_by_visit": q_avg_vitals_by_visit,
+        "encounter_type_distribution": q_encounter_type_distribution,
+        "lab_results_by_location": q_lab_results_by_location,
+        "clinical_totals": q_clinical_totals,
+        "top_locations": q_top_locations,
+        "visit_frequency": q_visit_frequency,
+        "daily_encounter_volume": q_daily_encounter_volume,
+        "encounter_types_by_location": q_encounter_types_by_location,
+        "provider_productivity": q_provider_productivity,
+        "missing_value_rates": q_missing_value_rates,
+        "patient_vital_series": q_patient_vital_series,
+        "duplicate_keys": q_duplicate_keys,
+        "patients_with_identifiers": q_patients_with_identifiers,
+        "recent_encounters": q_recent_encounters,
+        "recent_observations": q_recent_observations,
+        "scan_catalog": q_scan_catalog,
+        "replace_and_read": q_replace_and_read,
+        "bootstrap_or_increment": q_bootstrap_or_increment,
+        "stream_available_now": q_stream_available_now,
     }
