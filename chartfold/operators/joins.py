@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_ROWS = 2_000_000
 
 
+_DECIDED: dict = {}
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """``F.broadcast(df)`` if df has at most ``max_rows`` rows, else df unchanged.
 
@@ -17,8 +20,27 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     Beyond the bound the join stays a shuffle join (AQE may still switch it
     to a broadcast at runtime from the measured shuffle size).
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return bounded_broadcasts([df], max_rows)[0]
+
+
+def bounded_broadcasts(dfs, max_rows: int = DEFAULT_BROADCAST_ROWS) -> list[DataFrame]:
+    """``bounded_broadcast`` for several tables with one bounded counting job.
+
+    Decisions are remembered per (session, plan), so a dimension that is
+    joined again in the same session is not counted twice.
+    """
+    dfs = list(dfs)
+    keys = [(id(d.sparkSession), d.semanticHash(), max_rows) for d in dfs]
+    todo = [i for i, k in enumerate(keys) if k not in _DECIDED]
+    if todo:
+        parts = [dfs[i].limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"))
+                 .select(F.lit(j).alias("i"), "n") for j, i in enumerate(todo)]
+        counts = parts[0]
+        for p in parts[1:]:
+            counts = counts.unionByName(p)
+        for row in counts.collect():   # one row per table
+            _DECIDED[keys[todo[row["i"]]]] = row["n"] <= max_rows
+    return [F.broadcast(d) if _DECIDED[k] else d for d, k in zip(dfs, keys)]
 
 
 def null_safe_keys(left: DataFrame, right: DataFrame, keys, right_keys=None) -> Column:

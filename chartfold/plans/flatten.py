@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.sqlcompat import day_boundaries, flag, full_name, minute_boundaries, year_boundaries
-from ..operators.joins import bounded_broadcast
+from ..operators.joins import bounded_broadcasts
 from ..operators.topone import latest_per_parent
 
 FLAT_OBS_COLUMNS = [
@@ -60,21 +60,22 @@ def flatten_observations(t: dict[str, DataFrame], obs_filter: Column | None = No
         F.col("date_started").alias("visit_date_started"),
         F.col("date_stopped").alias("visit_date_stopped"),
         F.col("location_id").alias("v_location_id"))
-    et = bounded_broadcast(t["encounter_type"].select(
+    et = (t["encounter_type"].select(
         F.col("encounter_type_id").alias("et_id"), F.col("name").alias("encounter_type_name"),
         F.col("description").alias("encounter_type_description"),
         F.col("uuid").alias("encounter_type_uuid"), F.col("retired").alias("encounter_type_retired")))
-    vt = bounded_broadcast(t["visit_type"].select(
+    vt = (t["visit_type"].select(
         F.col("visit_type_id").alias("vt_id"), F.col("name").alias("visit_type_name"),
         F.col("uuid").alias("visit_type_uuid"), F.col("retired").alias("visit_type_retired")))
-    loc = bounded_broadcast(t["location"].select(
+    loc = (t["location"].select(
         F.col("location_id").alias("l_id"), F.col("name").alias("location_name"),
         *[F.col(c).alias("location_" + c) for c in
           ("address1", "address2", "city_village", "state_province", "postal_code",
            "country", "retired", "uuid")]))
     names = t["concept_name"]
-    vn = bounded_broadcast(preferred_names(names, "vn_"))
-    qn = bounded_broadcast(preferred_names(names, "qn_"))
+    vn = preferred_names(names, "vn_")
+    qn = preferred_names(names, "qn_")
+    et, vt, loc, vn, qn = bounded_broadcasts([et, vt, loc, vn, qn])
 
     # encounter side first: encounter -> visit -> encounter_type, visit_type
     ev = enc.join(visit, enc.e_visit_id == visit.visit_id, "left")
@@ -129,17 +130,18 @@ def flatten_appointments(t: dict[str, DataFrame], as_of=None, appt_filter: Colum
         pa = _live(pa, "voided")
     person = t["person"].select(F.col("person_id").alias("p_id"), "gender", "birthdate")
     pn = _person_names(t, "pn_")
-    svc = bounded_broadcast(_live(t["appointment_service"], "voided").select(
+    svc = (_live(t["appointment_service"], "voided").select(
         F.col("appointment_service_id").alias("s_id"), F.col("name").alias("service_name"),
         F.col("description").alias("service_description"),
         F.col("duration_mins").alias("service_default_duration"),
         F.col("start_time").alias("service_start_time"), F.col("end_time").alias("service_end_time")))
-    stype = bounded_broadcast(_live(t["appointment_service_type"], "voided").select(
+    stype = (_live(t["appointment_service_type"], "voided").select(
         F.col("appointment_service_type_id").alias("st_id"), F.col("name").alias("service_type_name"),
         F.col("duration_mins").alias("service_type_duration")))
-    loc = bounded_broadcast(_live(t["location"], "retired").select(
+    loc = (_live(t["location"], "retired").select(
         F.col("location_id").alias("l_id"), F.col("name").alias("location_name"),
         F.col("description").alias("location_description")))
+    svc, stype, loc = bounded_broadcasts([svc, stype, loc])
     prov = _live(t["provider"], "retired").select(
         F.col("provider_id").alias("pr_id"), F.col("person_id").alias("pr_person_id"))
     ppn = _person_names(t, "ppn_")
@@ -185,14 +187,14 @@ def flatten_patient_program(t: dict[str, DataFrame], as_of=None) -> DataFrame:
     person = t["person"].select(F.col("person_id").alias("p_id"), "gender", "birthdate", "dead",
                                 "death_date")
     pn = _person_names(t, "pn_")
-    prog = bounded_broadcast(_live(t["program"], "retired").select(
+    prog = (_live(t["program"], "retired").select(
         F.col("program_id").alias("pg_id"), F.col("name").alias("program_name"),
         F.col("description").alias("program_description"), F.col("uuid").alias("program_uuid")))
     names = t["concept_name"]
-    on = bounded_broadcast(preferred_names(names, "on_"))
-    sn = bounded_broadcast(preferred_names(names, "sn_"))
-    wn = bounded_broadcast(preferred_names(names, "wn_"))
-    loc = bounded_broadcast(_live(t["location"], "retired").select(
+    on = preferred_names(names, "on_")
+    sn = preferred_names(names, "sn_")
+    wn = preferred_names(names, "wn_")
+    loc = (_live(t["location"], "retired").select(
         F.col("location_id").alias("l_id"), F.col("name").alias("enrollment_location_name"),
         F.col("city_village").alias("enrollment_location_city"),
         F.col("state_province").alias("enrollment_location_state"),
@@ -202,13 +204,14 @@ def flatten_patient_program(t: dict[str, DataFrame], as_of=None) -> DataFrame:
         F.col("patient_state_id").alias("current_state_id"), F.col("state").alias("ps_state"),
         F.col("start_date").alias("current_state_start_date"),
         F.col("end_date").alias("current_state_end_date"), F.col("uuid").alias("current_state_uuid"))
-    pws = bounded_broadcast(_live(t["program_workflow_state"], "retired").select(
+    pws = (_live(t["program_workflow_state"], "retired").select(
         F.col("program_workflow_state_id").alias("current_workflow_state_id"),
         F.col("program_workflow_id").alias("pws_workflow_id"),
         F.col("concept_id").alias("pws_concept_id"),
         F.col("initial").alias("is_initial_state"), F.col("terminal").alias("is_terminal_state")))
-    pw = bounded_broadcast(_live(t["program_workflow"], "retired").select(
+    pw = (_live(t["program_workflow"], "retired").select(
         F.col("program_workflow_id"), F.col("concept_id").alias("pw_concept_id")))
+    prog, on, sn, wn, loc, pws, pw = bounded_broadcasts([prog, on, sn, wn, loc, pws, pw])
 
     j = pp.join(person, pp.patient_id == person.p_id, "left")
     j = j.join(pn, j.patient_id == pn.pn_person_id, "left")

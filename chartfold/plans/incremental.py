@@ -21,8 +21,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..catalog import spec as table_spec
-from ..operators.joins import bounded_broadcast
+from ..operators.joins import bounded_broadcasts
 from ..operators.upsert import change_cursor, delete_insert, latest_per_key, upsert_by_key
+from ..sources.derived import with_tables
 from .flatten import flatten_observations
 from .pivot import CatalogEntry, PivotSpec, build_catalog, catalog_frame, widen
 
@@ -49,7 +50,7 @@ def changed_rows(current: DataFrame, since, until=None, cursor: Column | None =
 def ingest(stored: dict[str, DataFrame], current: dict[str, DataFrame], since,
            names=("obs", "encounter", "visit")) -> dict[str, DataFrame]:
     """Key-merge each table's changed rows into its stored copy (S3)."""
-    out = dict(current)
+    out = with_tables(current)
     for n in names:
         keys = table_spec(n).keys
         batch = changed_rows(current[n], since)
@@ -82,19 +83,29 @@ def refresh_flat_window(flat_old: DataFrame | None, raw: dict[str, DataFrame],
 
 
 def changed_obs_ids(raw: dict[str, DataFrame], since) -> DataFrame:
-    """Obs whose flat rows may differ since ``since``: own changes or a changed parent."""
+    """Obs whose flat rows may differ since ``since``: own changes or a changed parent.
+
+    Changed parents (encounters, encounters of changed visits, concepts with a
+    changed name) are small sets; obs is scanned once and flagged through
+    left joins against them, instead of once per reason.
+    """
     obs = raw["obs"]
-    ids = changed_rows(obs, since).select("obs_id")
     enc = changed_rows(raw["encounter"], since).select("encounter_id")
     visits = changed_rows(raw["visit"], since).select("visit_id")
     enc = enc.unionByName(raw["encounter"].join(visits, "visit_id", "left_semi").select("encounter_id"))
-    ids = ids.unionByName(obs.join(enc.distinct(), "encounter_id", "left_semi").select("obs_id"))
+    enc = enc.distinct().withColumn("__enc_changed", F.lit(True))
     names = changed_rows(raw["concept_name"], since).select("concept_id").distinct()
-    names = bounded_broadcast(names)
-    ids = ids.unionByName(obs.join(names, "concept_id", "left_semi").select("obs_id"))
-    ids = ids.unionByName(obs.join(names.withColumnRenamed("concept_id", "value_coded"),
-                                   "value_coded", "left_semi").select("obs_id"))
-    return ids.distinct()
+    q_names = names.withColumn("__q_changed", F.lit(True))
+    a_names = names.select(F.col("concept_id").alias("__a_id"), F.lit(True).alias("__a_changed"))
+    enc, q_names, a_names = bounded_broadcasts([enc, q_names, a_names])
+    flagged = (obs.select("obs_id", "encounter_id", "concept_id", "value_coded",
+                          change_cursor(obs).alias("__cursor"))
+               .join(enc, "encounter_id", "left")
+               .join(q_names, "concept_id", "left")
+               .join(a_names, F.col("value_coded") == F.col("__a_id"), "left"))
+    hit = ((F.col("__cursor") >= F.lit(since)) | F.col("__enc_changed").isNotNull()
+           | F.col("__q_changed").isNotNull() | F.col("__a_changed").isNotNull())
+    return flagged.where(hit).select("obs_id").distinct()
 
 
 # -- wide table ---------------------------------------------------------------
@@ -146,7 +157,9 @@ def refresh_wide_touched(wide_old: DataFrame, old_cat: list[CatalogEntry], flat_
                          materialize=None) -> tuple[DataFrame, DataFrame, list[CatalogEntry]]:
     """Re-pivot touched encounters from all their rows; returns (wide, flat, catalog)."""
     ids = changed_obs_ids(raw, since)
-    fresh = flatten_observations({**raw, "obs": raw["obs"].join(ids, "obs_id", "left_semi")})
+    if materialize is not None:
+        ids = materialize(ids, "changed_obs_ids")   # small; used three times below
+    fresh = flatten_observations(with_tables(raw, obs=raw["obs"].join(ids, "obs_id", "left_semi")))
     flat_new = delete_insert(flat_old, fresh, ids, "obs_id")
     if materialize is not None:
         flat_new = materialize(flat_new, "flattened_observations")

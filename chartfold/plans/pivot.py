@@ -168,6 +168,11 @@ def widen_conditional(flat: DataFrame, catalog: list[CatalogEntry], spec: PivotS
 
 
 def widen_long(flat: DataFrame, catalog: list[CatalogEntry], spec: PivotSpec = PivotSpec()) -> DataFrame:
+    return project_folded(fold_cells(flat, catalog, spec), catalog, spec)
+
+
+def fold_cells(flat: DataFrame, catalog: list[CatalogEntry], spec: PivotSpec = PivotSpec()) -> DataFrame:
+    """Cells pre-aggregated per (group, column id), then folded into one map per group."""
     spark = flat.sparkSession
     # The catalog is already on the driver, so its size is known: broadcast is bounded.
     cat = F.broadcast(catalog_frame(spark, catalog).select(
@@ -195,17 +200,27 @@ def widen_long(flat: DataFrame, catalog: list[CatalogEntry], spec: PivotSpec = P
         *[spec.agg(fam_of[k], v[k]).alias(k) for k in used])
     entry = F.when(F.col("__cid").isNotNull(),
                    F.struct(F.col("__cid").alias("k"), F.struct(*[F.col(k) for k in used]).alias("v")))
-    step2 = step1.groupBy(*spec.keys).agg(
+    return step1.groupBy(*spec.keys).agg(
         *([F.max("__created").alias("date_created")] if spec.created else []),
         F.map_from_entries(F.collect_list(entry)).alias("__m"))
+
+
+def project_folded(step2: DataFrame, catalog: list[CatalogEntry], spec: PivotSpec = PivotSpec()) -> DataFrame:
+    """The wide columns out of the per-group cell map."""
     key_of = {"coded": "one", "numeric": "num", "text": "txt", "datetime": "ts", "drug": "drug"}
-    out = [*spec.keys] + (["date_created"] if spec.created else [])
+    # One selectExpr call for all columns: the expressions hold only integer
+    # ids and quoted column names, so no data value is spliced into SQL text.
+    out = [_q(k) for k in spec.keys] + (["date_created"] if spec.created else [])
     for e in catalog:
-        val = F.col("__m").getItem(F.lit(e.col_id)).getField(key_of[e.family])
+        val = f"__m[{e.col_id}].{key_of[e.family]}"
         if e.family == "coded":
-            val = F.coalesce(val, F.lit(0))
-        out.append(val.alias(e.name))
-    return step2.select(*out)
+            val = f"coalesce({val}, 0)"
+        out.append(f"{val} AS {_q(e.name)}")
+    return step2.selectExpr(*out)
+
+
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
 
 def widen(flat: DataFrame, spec: PivotSpec = PivotSpec(), strategy: str = "auto",

@@ -19,7 +19,7 @@ from .plans import incremental as incr
 from .plans.pivot import ENCOUNTER_KEYS, PivotSpec, build_catalog, catalog_frame, coded_answers, concept_types, widen
 from .plans import analytics as an
 from .session import scratch_path
-from .sources.derived import ClinicalSource
+from .sources.derived import ClinicalSource, with_tables
 from .sources.storage import VersionedTable
 
 AS_OF = _dt.date(2024, 1, 1)
@@ -236,8 +236,8 @@ def q_delete_insert_appointments(spark, sf_dir):
     flat_old = materialize(flatten_appointments(old, as_of=AS_OF), "flat_appointments_old")
     start = incr.high_water_mark(flat_old, F.greatest("date_changed", "date_created"))   # H4
     changed = incr.changed_rows(raw["patient_appointment"], start).select("patient_appointment_id")
-    fresh = flatten_appointments({**raw, "patient_appointment": raw["patient_appointment"].join(
-        changed, "patient_appointment_id", "left_semi")}, as_of=AS_OF)
+    fresh = flatten_appointments(with_tables(raw, patient_appointment=raw["patient_appointment"].join(
+        changed, "patient_appointment_id", "left_semi")), as_of=AS_OF)
     return delete_insert(flat_old, fresh, changed, "patient_appointment_id")
 
 

@@ -66,23 +66,35 @@ class ClinicalSource:
         self.sf_dir = sf_dir.rstrip("/")
         self.n_concepts = n_concepts
         self.as_of = as_of
+        self._built: dict[str, DataFrame] = {}
 
     # -- plumbing ----------------------------------------------------------
     def driver(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        # One reader per file and session: listing and footer reads happen once.
+        key = (id(self.spark), f"{self.sf_dir}/{name}.parquet")
+        df = _READERS.get(key)
+        if df is None:
+            df = _READERS[key] = self.spark.read.parquet(key[1])
+        return df
 
     def at(self, as_of: _dt.datetime | None) -> "ClinicalSource":
         return ClinicalSource(self.spark, self.sf_dir, self.n_concepts, as_of)
 
     def table(self, name: str) -> DataFrame:
-        df = getattr(self, "_" + name)()
-        if self.as_of is not None and name in FACT_TABLES:
-            df = snapshot(df, self.as_of)
+        df = self._built.get(name)
+        if df is None:
+            df = getattr(self, "_" + name)()
+            if self.as_of is not None and name in FACT_TABLES:
+                df = snapshot(df, self.as_of)
+            self._built[name] = df
         return df
 
-    def tables(self, names=None) -> dict[str, DataFrame]:
-        names = names or TABLES
-        return {n: self.table(n) for n in names}
+    def tables(self, names=None) -> "LazyTables":
+        """Tables by name, each built on first access."""
+        t = LazyTables(self)
+        for n in names or ():
+            t[n]
+        return t
 
     # -- dictionary --------------------------------------------------------
     def _concept_name(self) -> DataFrame:
@@ -429,6 +441,41 @@ class ClinicalSource:
         return self.driver("events")
 
 
+_READERS: dict = {}
+
+
+class LazyTables(dict):
+    """dict of clinical tables that builds a table the first time it is looked up."""
+
+    def __init__(self, src: ClinicalSource):
+        super().__init__()
+        self._src = src
+
+    def __missing__(self, name: str) -> DataFrame:
+        if name not in TABLES:
+            raise KeyError(name)
+        df = self._src.table(name)
+        self[name] = df
+        return df
+
+
+class Overlay(dict):
+    """Some tables replaced on top of a (lazy) table dict; other names fall through."""
+
+    def __init__(self, base, **replaced):
+        super().__init__(replaced)
+        self._base = base
+
+    def __missing__(self, name: str) -> DataFrame:
+        df = self._base[name]
+        self[name] = df
+        return df
+
+
+def with_tables(base, **replaced) -> Overlay:
+    return Overlay(base, **replaced)
+
+
 TABLES = tuple(n[1:] for n in dir(ClinicalSource) if n.startswith("_") and not n.startswith("__"))
 
 
