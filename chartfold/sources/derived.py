@@ -39,9 +39,13 @@ def _L(v):
     return F.lit(v)
 
 
-def obs_id_expr(orderkey: Column, partkey: Column, suppkey: Column, linenumber: Column) -> Column:
-    """Deterministic obs id; (orderkey, partkey, suppkey, linenumber) is unique in lineitem."""
-    return ((orderkey * 1_000_000 + partkey) * 100_000 + suppkey) * 10 + linenumber.cast("long")
+ID_DAY0 = _dt.date(1990, 1, 1)
+
+
+def obs_id_expr(orderkey: Column, partkey: Column, shipdate: Column, linenumber: Column) -> Column:
+    """Deterministic obs id; (orderkey, ship day, partkey, linenumber) is unique in lineitem."""
+    days = F.datediff(shipdate.cast("date"), _L(ID_DAY0)).cast("long")
+    return ((orderkey * 10_000 + days) * 1_000_000 + partkey) * 10 + linenumber.cast("long")
 
 
 def question_name(nation_name: Column, k: Column, series: Column) -> Column:
@@ -156,7 +160,7 @@ class ClinicalSource:
         null_long = _L(None).cast("long")
         null_str = _L(None).cast("string")
         return j.select(
-            obs_id_expr(F.col("l_orderkey"), F.col("l_partkey"), F.col("l_suppkey"),
+            obs_id_expr(F.col("l_orderkey"), F.col("l_partkey"), F.col("l_shipdate"),
                         F.col("l_linenumber")).alias("obs_id"),
             F.col("o_custkey").alias("person_id"),
             (_L(QUESTION_BASE) + k).cast("long").alias("concept_id"),
@@ -408,7 +412,7 @@ class ClinicalSource:
 
     def _patient_state(self) -> DataFrame:
         li = self.driver("lineitem").where(F.col("l_orderkey") % 4 == 0)
-        sid = obs_id_expr(F.col("l_orderkey"), F.col("l_partkey"), F.col("l_suppkey"), F.col("l_linenumber"))
+        sid = obs_id_expr(F.col("l_orderkey"), F.col("l_partkey"), F.col("l_shipdate"), F.col("l_linenumber"))
         return li.select(
             sid.alias("patient_state_id"),
             F.col("l_orderkey").alias("patient_program_id"),

@@ -28,19 +28,23 @@ class VersionedTable:
         self.path = f"{self.root}/{name}"
 
     # -- metadata ----------------------------------------------------------
-    def versions(self) -> list[int]:
+    def _listing(self) -> list[tuple[int, bool]]:
+        """(version, committed) for every ``v=<n>`` folder."""
         fs, p = _fs(self.spark, self.path)
         if not fs.exists(p):
             return []
+        jvm = self.spark.sparkContext._jvm
         out = []
         for st in fs.listStatus(p):
             nm = st.getPath().getName()
-            if st.isDirectory() and nm.startswith("v="):
-                if fs.exists(self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(
-                        st.getPath(), "_SUCCESS")):
-                    out.append(int(nm[2:]))
+            if st.isDirectory() and nm.startswith("v=") and nm[2:].isdigit():
+                out.append((int(nm[2:]), fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS"))))
         return sorted(out)
 
+    def versions(self) -> list[int]:
+        """Committed versions, oldest first."""
+        return [v for v, ok in self._listing() if ok]
+
     def exists(self) -> bool:
         """Table-exists probe (S12): a committed version is present."""
         return bool(self.versions())
@@ -58,8 +62,9 @@ class VersionedTable:
 
     def write(self, df: DataFrame, partition_by=None, keep: int = 3) -> str:
         """Write ``df`` as the next version (full replace, S6/S7)."""
-        v = self.versions()
-        nxt = (v[-1] + 1) if v else 1
+        # past every folder, committed or not: a failed write never blocks the next one
+        allv = self._listing()
+        nxt = (allv[-1][0] + 1) if allv else 1
         out = f"{self.path}/v={nxt}"
         w = df.write.mode("errorifexists")
         if partition_by:

@@ -26,8 +26,9 @@ def _question_name(n_name: str, k: str, series: str) -> str:
     return f"CASE WHEN {series} > 0 THEN concat({base}, ' v', CAST({series} AS VARCHAR)) ELSE {base} END"
 
 
-def _obs_id(o, p, s, ln):
-    return f"((({o} * 1000000 + {p}) * 100000 + {s}) * 10 + CAST({ln} AS BIGINT))"
+def _obs_id(o, p, ship, ln):
+    days = f"date_diff('day', DATE '1990-01-01', CAST({ship} AS DATE))"
+    return f"((({o} * 10000 + {days}) * 1000000 + {p}) * 10 + CAST({ln} AS BIGINT))"
 
 
 def base_views(n_concepts: int = 25) -> dict[str, str]:
@@ -57,7 +58,7 @@ def base_views(n_concepts: int = 25) -> dict[str, str]:
              locale, locale_preferred, TIMESTAMP '1990-01-01 00:00:00' AS date_created FROM u"""
     c = f"(l_partkey % {n_concepts}) % 25"
     v["obs"] = f"""
-      SELECT {_obs_id('l_orderkey', 'l_partkey', 'l_suppkey', 'l_linenumber')} AS obs_id,
+      SELECT {_obs_id('l_orderkey', 'l_partkey', 'l_shipdate', 'l_linenumber')} AS obs_id,
         o_custkey AS person_id,
         CAST(1000 + l_partkey % {n_concepts} AS BIGINT) AS concept_id,
         l_orderkey AS encounter_id,
@@ -233,11 +234,11 @@ def base_views(n_concepts: int = 25) -> dict[str, str]:
         CASE WHEN o_orderkey % 36 = 0 THEN o_orderdate + INTERVAL 10 DAY END AS date_voided
       FROM orders WHERE o_orderkey % 4 = 0"""
     v["patient_state"] = f"""
-      SELECT {_obs_id('l_orderkey', 'l_partkey', 'l_suppkey', 'l_linenumber')} AS patient_state_id,
+      SELECT {_obs_id('l_orderkey', 'l_partkey', 'l_shipdate', 'l_linenumber')} AS patient_state_id,
         l_orderkey AS patient_program_id, l_suppkey % 25 + 1 AS state,
         CASE WHEN l_linenumber <> 6 THEN CAST(date_trunc('month', l_shipdate) AS DATE) END AS start_date,
         CAST(NULL AS DATE) AS end_date,
-        concat('ps-', CAST({_obs_id('l_orderkey', 'l_partkey', 'l_suppkey', 'l_linenumber')} AS VARCHAR)) AS uuid,
+        concat('ps-', CAST({_obs_id('l_orderkey', 'l_partkey', 'l_shipdate', 'l_linenumber')} AS VARCHAR)) AS uuid,
         l_shipdate AS date_created, l_linenumber = 5 AS voided
       FROM lineitem WHERE l_orderkey % 4 = 0"""
     v["drug_order"] = """
