@@ -377,35 +377,14 @@ def q_replace_and_read(spark, sf_dir):
 
 
 def q_bootstrap_or_increment(spark, sf_dir):
-    """First run finds no table and builds in full; the next run increments."""
-    root = scratch_path(spark, "tables")
+    """The first run finds nothing stored and builds in full; the next run increments
+    (partition-local rewrite of the stored flat and wide tables)."""
+    from .plans.refresh import WideStore
+    store = WideStore(spark, root=scratch_path(spark, "tables"))
     src = source(spark, sf_dir)
-    for as_of in (INCR_T1, None):
-        refresh(spark, src.at(as_of), root, since=INCR_T1)
-    return VersionedTable(spark, "widened_observations", root=root).read()
-
-
-def refresh(spark, src: ClinicalSource, root: str, since=None) -> str:
-    """One scheduled run: full build when the wide table is missing, else a touched increment."""
-    flat_t = VersionedTable(spark, "flattened_observations", root=root)
-    wide_t = VersionedTable(spark, "widened_observations", root=root)
-    cat_t = VersionedTable(spark, "widened_catalog", root=root)
-    raw = src.tables()
-    if not wide_t.exists():
-        flat_t.write(flatten_observations(raw))
-        flat = flat_t.read()
-        cat = build_catalog(flat)
-        wide_t.write(widen(flat, catalog=cat))
-        cat_t.write(catalog_frame(spark, cat))
-        return "full"
-    from .plans.pivot import CatalogEntry
-    old_cat = [CatalogEntry(r.col_id, r.name, r.concept, r.family, r.answer)
-               for r in cat_t.read().orderBy("col_id").collect()]
-    wide, flat, cat = incr.refresh_wide_touched(wide_t.read(), old_cat, flat_t.read(), raw, since)
-    flat_t.write(flat)
-    wide_t.write(wide)
-    cat_t.write(catalog_frame(spark, cat))
-    return "increment"
+    assert store.refresh(src.at(INCR_T1).tables(), since=INCR_T1) == "full"
+    assert store.refresh(src.tables(), since=INCR_T1) == "increment"
+    return store.wide()
 
 
 def q_stream_available_now(spark, sf_dir):

@@ -48,6 +48,12 @@ def obs_id_expr(orderkey: Column, partkey: Column, shipdate: Column, linenumber:
     return ((orderkey * 10_000 + days) * 1_000_000 + partkey) * 10 + linenumber.cast("long")
 
 
+def visit_id_expr(custkey: str = "o_custkey", orderdate: str = "o_orderdate") -> Column:
+    """Visit of an order: its patient and calendar month."""
+    month_no = (F.year(orderdate) - 1990) * 12 + F.month(orderdate)
+    return F.col(custkey) * 1000 + month_no.cast("long")
+
+
 def question_name(nation_name: Column, k: Column, series: Column) -> Column:
     """Question concept name; shape chosen by k % 5 to exercise the naming rules."""
     shape = k % 5
@@ -194,7 +200,7 @@ class ClinicalSource:
         return o.select(
             F.col("o_orderkey").alias("encounter_id"),
             F.col("o_custkey").alias("patient_id"),
-            (F.col("o_orderkey") - F.col("o_orderkey") % 2).alias("visit_id"),
+            F.when(F.col("o_orderkey") % 10 != 3, visit_id_expr()).alias("visit_id"),
             etype.alias("encounter_type"),
             (F.col("o_custkey") % 25).cast("long").alias("location_id"),
             F.col("o_orderdate").alias("encounter_datetime"),
@@ -203,16 +209,18 @@ class ClinicalSource:
             F.when(voided, F.col("o_orderdate") + F.expr("INTERVAL 30 DAYS")).alias("date_voided"))
 
     def _visit(self) -> DataFrame:
-        o = self.driver("orders").where(F.col("o_orderkey") % 2 == 0)
-        return o.select(
-            F.col("o_orderkey").alias("visit_id"),
-            F.col("o_custkey").alias("patient_id"),
-            (F.col("o_orderkey") % 3 + 1).cast("long").alias("visit_type_id"),
-            ((F.col("o_custkey") + 1) % 25).cast("long").alias("location_id"),
-            F.col("o_orderdate").alias("date_started"),
-            F.when(F.col("o_orderstatus") != "O",
-                   F.col("o_orderdate") + F.expr("INTERVAL 1 DAYS")).alias("date_stopped"),
-            F.col("o_orderdate").alias("date_created"),
+        """One visit per patient and calendar month; its encounters are that month's orders."""
+        o = self.driver("orders").select(visit_id_expr().alias("visit_id"),
+                                         F.col("o_custkey").alias("patient_id"), "o_orderdate")
+        v = o.groupBy("visit_id", "patient_id").agg(F.min("o_orderdate").alias("first"),
+                                                    F.max("o_orderdate").alias("last"))
+        return v.select(
+            "visit_id", "patient_id",
+            (F.col("visit_id") % 3 + 1).cast("long").alias("visit_type_id"),
+            ((F.col("patient_id") + 1) % 25).cast("long").alias("location_id"),
+            F.col("first").alias("date_started"),
+            (F.col("last") + F.expr("INTERVAL 1 DAYS")).alias("date_stopped"),
+            F.col("first").alias("date_created"),
             _L(False).alias("voided"))
 
     def _encounter_type(self) -> DataFrame:

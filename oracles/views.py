@@ -26,6 +26,9 @@ def _question_name(n_name: str, k: str, series: str) -> str:
     return f"CASE WHEN {series} > 0 THEN concat({base}, ' v', CAST({series} AS VARCHAR)) ELSE {base} END"
 
 
+VISIT_ID = "(o_custkey * 1000 + CAST((year(o_orderdate) - 1990) * 12 + month(o_orderdate) AS BIGINT))"
+
+
 def _obs_id(o, p, ship, ln):
     days = f"date_diff('day', DATE '1990-01-01', CAST({ship} AS DATE))"
     return f"((({o} * 10000 + {days}) * 1000000 + {p}) * 10 + CAST({ln} AS BIGINT))"
@@ -87,23 +90,22 @@ def base_views(n_concepts: int = 25) -> dict[str, str]:
         CASE WHEN l_linenumber = 7 THEN l_shipdate + INTERVAL 200 DAY END AS date_voided,
         CAST(NULL AS BIGINT) AS previous_version
       FROM lineitem JOIN orders ON l_orderkey = o_orderkey"""
-    v["encounter"] = """
+    v["encounter"] = f"""
       SELECT o_orderkey AS encounter_id, o_custkey AS patient_id,
-        o_orderkey - o_orderkey % 2 AS visit_id,
+        CASE WHEN o_orderkey % 10 <> 3 THEN {VISIT_ID} END AS visit_id,
         CAST(CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN 2 ELSE 3 END AS BIGINT) AS encounter_type,
         CAST(o_custkey % 25 AS BIGINT) AS location_id,
         o_orderdate AS encounter_datetime, o_orderdate AS date_created,
         o_orderkey % 20 = 0 AS voided,
         CASE WHEN o_orderkey % 20 = 0 THEN o_orderdate + INTERVAL 30 DAY END AS date_voided
       FROM orders"""
-    v["visit"] = """
-      SELECT o_orderkey AS visit_id, o_custkey AS patient_id,
-        CAST(o_orderkey % 3 + 1 AS BIGINT) AS visit_type_id,
-        CAST((o_custkey + 1) % 25 AS BIGINT) AS location_id,
-        o_orderdate AS date_started,
-        CASE WHEN o_orderstatus <> 'O' THEN o_orderdate + INTERVAL 1 DAY END AS date_stopped,
-        o_orderdate AS date_created, false AS voided
-      FROM orders WHERE o_orderkey % 2 = 0"""
+    v["visit"] = f"""
+      SELECT visit_id, patient_id, CAST(visit_id % 3 + 1 AS BIGINT) AS visit_type_id,
+        CAST((patient_id + 1) % 25 AS BIGINT) AS location_id,
+        min(o_orderdate) AS date_started, max(o_orderdate) + INTERVAL 1 DAY AS date_stopped,
+        min(o_orderdate) AS date_created, false AS voided
+      FROM (SELECT {VISIT_ID} AS visit_id, o_custkey AS patient_id, o_orderdate FROM orders)
+      GROUP BY visit_id, patient_id"""
     v["encounter_type"] = """
       SELECT CAST(r_regionkey + 1 AS BIGINT) AS encounter_type_id,
         CASE r_regionkey + 1 WHEN 1 THEN 'Adult Visit' WHEN 2 THEN 'Lab Results' ELSE 'Triage' END AS name,
