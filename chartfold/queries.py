@@ -137,10 +137,10 @@ def q_events_one_hot(spark, sf_dir):
 # -- incremental family ------------------------------------------------------------
 
 # Cut points read off the data: ~1% of obs are created after INCR_T1, ~10% after UPSERT_T.
-INCR_T1 = _dt.datetime(2001, 10, 10)
-UPSERT_T = _dt.datetime(2001, 2, 24)
-RANGE_START = _dt.datetime(2001, 9, 1)
-RANGE_END = _dt.datetime(2001, 10, 31)
+INCR_T1 = _dt.datetime(2001, 7, 10)
+UPSERT_T = _dt.datetime(2000, 12, 1)
+RANGE_START = _dt.datetime(2001, 6, 1)
+RANGE_END = _dt.datetime(2001, 7, 31)
 FACTS = ("obs", "encounter", "visit", "patient_appointment", "patient_program", "patient_state")
 
 
@@ -397,7 +397,7 @@ def q_stream_available_now(spark, sf_dir):
     changed = incr.changed_rows(src.table("obs"), INCR_T1)
     landing = root + "/landing/obs"
     # two landings, as two scheduled extractions would leave them
-    cut = F.col("date_created") < F.lit(_dt.datetime(2001, 11, 1))
+    cut = F.col("date_created") < F.lit(_dt.datetime(2001, 7, 20))
     changed.where(cut).write.mode("append").parquet(landing)
     changed.where(~cut).write.mode("append").parquet(landing)
     ingest_available(spark, "obs", landing, raw, schema=changed.schema, checkpoint=root + "/checkpoint")

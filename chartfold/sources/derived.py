@@ -151,7 +151,7 @@ class ClinicalSource:
         li = self.driver("lineitem").select(
             "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
             "l_discount", "l_returnflag", "l_linestatus", "l_shipdate")
-        od = self.driver("orders").select("o_orderkey", "o_custkey")
+        od = self.driver("orders").select("o_orderkey", "o_custkey", "o_orderdate")
         j = li.join(od, li.l_orderkey == od.o_orderkey, "inner")
         k = F.col("l_partkey") % self.n_concepts
         c = k % 25
@@ -165,6 +165,8 @@ class ClinicalSource:
                 .when(c.between(8, 15) & (F.col("l_discount") == 0), _L("n/a")))
         null_long = _L(None).cast("long")
         null_str = _L(None).cast("string")
+        # recorded during the encounter: the order date plus one hour per line
+        created = F.col("o_orderdate") + F.make_dt_interval(_L(0), F.col("l_linenumber"))
         return j.select(
             obs_id_expr(F.col("l_orderkey"), F.col("l_partkey"), F.col("l_shipdate"),
                         F.col("l_linenumber")).alias("obs_id"),
@@ -185,11 +187,11 @@ class ClinicalSource:
             F.when(c == 24, F.concat(_L("blob:"), F.col("l_orderkey").cast("string"))).alias("value_complex"),
             null_str.alias("comments"),
             _L(1).cast("long").alias("creator"),
-            F.col("l_shipdate").alias("date_created"),
-            F.col("l_shipdate").alias("obs_datetime"),
+            created.alias("date_created"),
+            created.alias("obs_datetime"),
             voided.alias("voided"),
             F.when(voided, _L("entered in error")).alias("void_reason"),
-            F.when(voided, F.col("l_shipdate") + F.expr("INTERVAL 200 DAYS")).alias("date_voided"),
+            F.when(voided, created + F.expr("INTERVAL 200 DAYS")).alias("date_voided"),
             null_long.alias("previous_version"))
 
     def _encounter(self) -> DataFrame:

@@ -51,11 +51,11 @@ CATALOG_SQL = f"""
   FROM n"""
 
 
-INCR_T1 = "TIMESTAMP '2001-10-10 00:00:00'"
-UPSERT_T = "TIMESTAMP '2001-02-24 00:00:00'"
-RANGE = ("TIMESTAMP '2001-09-01 00:00:00'", "TIMESTAMP '2001-10-31 00:00:00'")
-_T1 = _dt.datetime(2001, 10, 10)
-_UT = _dt.datetime(2001, 2, 24)
+INCR_T1 = "TIMESTAMP '2001-07-10 00:00:00'"
+UPSERT_T = "TIMESTAMP '2000-12-01 00:00:00'"
+RANGE = ("TIMESTAMP '2001-06-01 00:00:00'", "TIMESTAMP '2001-07-31 00:00:00'")
+_T1 = _dt.datetime(2001, 7, 10)
+_UT = _dt.datetime(2000, 12, 1)
 
 
 def _nullsafe(a: str, b: str, keys) -> str:

@@ -83,11 +83,11 @@ def base_views(n_concepts: int = 25) -> dict[str, str]:
         CASE WHEN {c} = 24 THEN concat('blob:', CAST(l_orderkey AS VARCHAR)) END AS value_complex,
         CAST(NULL AS VARCHAR) AS comments,
         CAST(1 AS BIGINT) AS creator,
-        l_shipdate AS date_created,
-        l_shipdate AS obs_datetime,
+        o_orderdate + to_hours(l_linenumber) AS date_created,
+        o_orderdate + to_hours(l_linenumber) AS obs_datetime,
         l_linenumber = 7 AS voided,
         CASE WHEN l_linenumber = 7 THEN 'entered in error' END AS void_reason,
-        CASE WHEN l_linenumber = 7 THEN l_shipdate + INTERVAL 200 DAY END AS date_voided,
+        CASE WHEN l_linenumber = 7 THEN o_orderdate + to_hours(l_linenumber) + INTERVAL 200 DAY END AS date_voided,
         CAST(NULL AS BIGINT) AS previous_version
       FROM lineitem JOIN orders ON l_orderkey = o_orderkey"""
     v["encounter"] = f"""
