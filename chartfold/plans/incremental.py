@@ -108,6 +108,21 @@ def changed_obs_ids(raw: dict[str, DataFrame], since) -> DataFrame:
     return flagged.where(hit).select("obs_id").distinct()
 
 
+def restrict_to_obs(raw: dict[str, DataFrame], ids: DataFrame):
+    """Raw tables cut down to the given obs and their encounters and visits.
+
+    Re-flattening a few changed obs then joins against a few encounters (the
+    id sets are broadcast behind a bounded count) instead of shuffling the
+    whole encounter and visit tables.
+    """
+    obs = raw["obs"].join(ids.select("obs_id"), "obs_id", "left_semi")
+    enc_ids, = bounded_broadcasts([obs.select("encounter_id").distinct()])
+    enc = raw["encounter"].join(enc_ids, "encounter_id", "left_semi")
+    visit_ids, = bounded_broadcasts([enc.select("visit_id").distinct()])
+    visit = raw["visit"].join(visit_ids, "visit_id", "left_semi")
+    return with_tables(raw, obs=obs, encounter=enc, visit=visit)
+
+
 # -- wide table ---------------------------------------------------------------
 
 def _ident(e: CatalogEntry):
@@ -159,7 +174,7 @@ def refresh_wide_touched(wide_old: DataFrame, old_cat: list[CatalogEntry], flat_
     ids = changed_obs_ids(raw, since)
     if materialize is not None:
         ids = materialize(ids, "changed_obs_ids")   # small; used three times below
-    fresh = flatten_observations(with_tables(raw, obs=raw["obs"].join(ids, "obs_id", "left_semi")))
+    fresh = flatten_observations(restrict_to_obs(raw, ids))
     flat_new = delete_insert(flat_old, fresh, ids, "obs_id")
     if materialize is not None:
         flat_new = materialize(flat_new, "flattened_observations")

@@ -38,6 +38,8 @@ ENCOUNTER_KEYS = ("person_id", "encounter_id", "encounter_type_name", "visit_dat
 FAMILY_RANK = {f: i for i, f in enumerate(FAMILIES)}
 # Above this many output columns the long plan is used by ``auto``.
 WIDE_THRESHOLD = 100
+# One row per output column; far beyond any usable table width.
+MAX_BROADCAST_CATALOG = 1_000_000
 
 
 @dataclass
@@ -175,6 +177,8 @@ def fold_cells(flat: DataFrame, catalog: list[CatalogEntry], spec: PivotSpec = P
     """Cells pre-aggregated per (group, column id), then folded into one map per group."""
     spark = flat.sparkSession
     # The catalog is already on the driver, so its size is known: broadcast is bounded.
+    if len(catalog) > MAX_BROADCAST_CATALOG:
+        raise ValueError(f"{len(catalog)} columns: split the concepts over several wide tables")
     cat = F.broadcast(catalog_frame(spark, catalog).select(
         F.col("col_id").alias("__cid"), F.col("concept").alias("__concept"),
         F.col("family").alias("__family"), F.col("answer").alias("__answer")))
