@@ -388,20 +388,31 @@ def q_bootstrap_or_increment(spark, sf_dir):
 
 
 def q_stream_available_now(spark, sf_dir):
-    """Changed obs land as files; an availableNow stream key-merges them into raw obs."""
+    """Changed obs land as files; an availableNow stream key-merges each micro-batch
+    into the raw obs table, then re-pivots the touched months of the stored wide table."""
+    from .plans.refresh import WideStore
     from .streaming.ingest import ingest_available
     src = source(spark, sf_dir)
     root = scratch_path(spark, "stream")
-    raw = VersionedTable(spark, "obs", root=root + "/tables")
-    raw.write(src.at(INCR_T1).table("obs"))
+    old = src.at(INCR_T1).tables()
+    raw_obs = VersionedTable(spark, "obs", root=root + "/tables")
+    raw_obs.write(old["obs"])
+    store = WideStore(spark, root=root + "/tables")
+    store.build_full(old)
     changed = incr.changed_rows(src.table("obs"), INCR_T1)
     landing = root + "/landing/obs"
     # two landings, as two scheduled extractions would leave them
     cut = F.col("date_created") < F.lit(_dt.datetime(2001, 7, 20))
     changed.where(cut).write.mode("append").parquet(landing)
     changed.where(~cut).write.mode("append").parquet(landing)
-    ingest_available(spark, "obs", landing, raw, schema=changed.schema, checkpoint=root + "/checkpoint")
-    return raw.read()
+
+    def repivot(batch, epoch_id):
+        # the other raw tables are current; the mark is the previous run's
+        store.increment(with_tables(src.tables(), obs=raw_obs.read()), INCR_T1)
+
+    ingest_available(spark, "obs", landing, raw_obs, schema=changed.schema,
+                     checkpoint=root + "/checkpoint", after=repivot)
+    return store.wide()
 
 
 def registry() -> dict:
