@@ -58,13 +58,21 @@ class PivotSpec:
     name_fn: Callable[[Column], Column] = safe_name_col  # "change column naming conventions"
     families: tuple = FAMILIES                         # which column families to emit
     aggregates: dict = field(default_factory=dict)     # family -> fn(Column) -> Column, default max
+    type_map: dict = field(default_factory=dict)       # classified type -> family it is pivoted as
 
     def value_col(self, family: str) -> str:
         return {"numeric": self.numeric, "text": self.text, "datetime": self.datetime,
                 "drug": self.drug}[family]
 
     def classify(self) -> Column:
-        return value_type(self.coded, self.numeric, self.text, self.datetime, self.drug)
+        t = value_type(self.coded, self.numeric, self.text, self.datetime, self.drug)
+        if not self.type_map:
+            return t
+        mapped = None
+        for src, dst in self.type_map.items():
+            mapped = (F.when(t == src, F.lit(dst)) if mapped is None
+                      else mapped.when(t == src, F.lit(dst)))
+        return mapped.otherwise(t)
 
     def agg(self, family: str, c: Column) -> Column:
         return self.aggregates.get(family, F.max)(c)

@@ -47,11 +47,15 @@ def q_flatten_observations(spark, sf_dir):
 
 
 def q_flatten_appointments(spark, sf_dir):
-    return flatten_appointments(source(spark, sf_dir).tables(), as_of=AS_OF)
+    # O1: newest first as a storage order - sorted within partitions, no global shuffle
+    return flatten_appointments(source(spark, sf_dir).tables(), as_of=AS_OF) \
+        .sortWithinPartitions(F.desc_nulls_last("start_date_time"))
 
 
 def q_flatten_patient_program(spark, sf_dir):
-    return flatten_patient_program(source(spark, sf_dir).tables(), as_of=AS_OF)
+    # O2: newest enrolment first, same storage-order treatment
+    return flatten_patient_program(source(spark, sf_dir).tables(), as_of=AS_OF) \
+        .sortWithinPartitions(F.desc_nulls_last("date_enrolled"))
 
 
 def q_latest_state_lateral(spark, sf_dir):

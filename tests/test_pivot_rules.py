@@ -144,3 +144,16 @@ def test_no_concepts_gives_groups_only(spark):
     df = flat_df(spark, [obs(1, 1, None, num=1.0)])
     w = widen(df)
     assert w.count() == 1 and "date_created" in w.columns
+
+
+def test_type_map_remaps_families(spark):
+    df = flat_df(spark, [obs(1, 1, "Rx", drug=5), obs(1, 1, "W", num=2.0)])
+    w = widen(df, PivotSpec(type_map={"drug": "other"}))      # drop drug columns
+    assert "rx_drug_id" not in w.columns and "w_value" in w.columns
+
+
+def test_both_plans_aggregate_before_shuffling(spark, readme_example):
+    """A hot encounter is combined map-side: partial aggregates precede every exchange."""
+    for strategy in STRATEGIES:
+        plan = widen(readme_example, strategy=strategy)._jdf.queryExecution().executedPlan().toString()
+        assert "partial_max" in plan, strategy
