@@ -123,7 +123,7 @@ def discover(flat: DataFrame, spec: PivotSpec = PivotSpec()) -> DataFrame:
                     spec.name_fn(F.col("answer")).alias("answer_safe"))
 
 
-def discover_counts(flat: DataFrame, spec: PivotSpec = PivotSpec()) -> DataFrame:
+def discover_counts(flat: DataFrame, spec: PivotSpec = PivotSpec(), by=()) -> DataFrame:
     """Like ``discover`` with a row count per (concept, family, answer): lets a store keep
     the catalog up to date from the rows it rewrites (counts add up; a column exists while
     its count is positive)."""
@@ -131,9 +131,9 @@ def discover_counts(flat: DataFrame, spec: PivotSpec = PivotSpec()) -> DataFrame
     if spec.concept_filter is not None:
         df = df.where(spec.concept_filter)
     fam = spec.classify()
-    d = df.groupBy(F.col(spec.concept).alias("concept"), fam.alias("family"),
+    d = df.groupBy(*by, F.col(spec.concept).alias("concept"), fam.alias("family"),
                    F.when(fam == "coded", F.col(spec.answer)).alias("answer")).agg(F.count(F.lit(1)).alias("n"))
-    return d.select("concept", "family", "answer", spec.name_fn(F.col("concept")).alias("concept_safe"),
+    return d.select(*by, "concept", "family", "answer", spec.name_fn(F.col("concept")).alias("concept_safe"),
                     spec.name_fn(F.col("answer")).alias("answer_safe"), "n")
 
 

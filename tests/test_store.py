@@ -41,3 +41,27 @@ def test_emptied_partition_is_removed(spark):
     info = store.increment(t1, later)
     assert info["partitions"] == [202401]
     assert store.flat().count() == 0 and store.wide().count() == 0
+
+
+def test_rerun_after_a_crash_completes_the_increment(spark, small_dir):
+    src = ClinicalSource(spark, small_dir)
+    cut = dt.datetime(2001, 7, 10)
+    store = WideStore(spark, root=scratch_path(spark, "test-store-crash"))
+    store.build_full(src.at(cut).tables())
+    real = store._overwrite_parts
+
+    def dies_on_wide(staged, path, parts):
+        if path == store.wide_path:
+            raise RuntimeError("driver lost")
+        return real(staged, path, parts)
+    store._overwrite_parts = dies_on_wide
+    try:
+        store.increment(src.tables(), cut)
+    except RuntimeError:
+        pass
+    assert store._pending()                                 # the journal names the unfinished months
+    store._overwrite_parts = real
+    store.increment(src.tables(), cut)                      # the next scheduled run
+    assert store._pending() == []
+    full = widen(flatten_observations(src.tables()))
+    assert _same(store.wide(), full)
