@@ -95,7 +95,8 @@ def main():
     # key-merge of a ~10% batch into raw obs
     stored = materialize(src.at(UPSERT_T).table("obs"), "bench_obs_stored")
     batch = materialize(incr.changed_rows(src.table("obs"), UPSERT_T), "bench_obs_batch")
-    q["upsert_10pct"] = timed(lambda: run(upsert_by_key(stored, batch, ["obs_id"], order_by=["date_created"])))
+    q["upsert_10pct"] = timed(lambda: run(upsert_by_key(stored, batch, ["obs_id"], order_by=["date_created"],
+                                                                 null_safe=False)))
 
     # the headline value sums the jobs the system runs; the other pivot plan is for comparison
     headline = ["flatten_observations", "flatten_appointments", "flatten_patient_program", "full_build_warm",

@@ -32,9 +32,16 @@ def latest_per_key(batch: DataFrame, keys, order_by=()) -> DataFrame:
 
 
 def upsert_by_key(target: DataFrame, batch: DataFrame, keys, order_by=(),
-                  fill: dict | None = None, dedupe: bool = True) -> DataFrame:
+                  fill: dict | None = None, dedupe: bool = True, null_safe: bool = True) -> DataFrame:
+    """``null_safe=False`` for primary keys that are never NULL: a plain equi-join on the keys
+    lets the anti join reuse the dedupe's hash partitioning (NULL-safe keys are rewritten by
+    Spark into ``coalesce`` join keys, which forces both sides to be shuffled again)."""
     keys = list(keys)
     b = latest_per_key(batch, keys, order_by) if dedupe else batch
+    if not null_safe:
+        kept = target.join(b.select(*keys), keys, "left_anti")
+        out = kept.unionByName(b, allowMissingColumns=True)
+        return out.fillna({k: v for k, v in fill.items() if k in out.columns}) if fill else out
     bk = b.select(*[F.col(k).alias("__k_" + k) for k in keys])
     kept = target.join(bk, null_safe_keys(target, bk, keys, ["__k_" + k for k in keys]), "left_anti")
     out = kept.unionByName(b, allowMissingColumns=True)

@@ -54,7 +54,7 @@ def ingest(stored: dict[str, DataFrame], current: dict[str, DataFrame], since,
     for n in names:
         keys = table_spec(n).keys
         batch = changed_rows(current[n], since)
-        out[n] = upsert_by_key(stored[n], batch, keys, order_by=["date_created"])
+        out[n] = upsert_by_key(stored[n], batch, keys, order_by=["date_created"], null_safe=False)
     return out
 
 

@@ -182,7 +182,7 @@ def q_high_water_marks(spark, sf_dir):
 def q_upsert_raw(spark, sf_dir):
     old, now = _old_and_now(spark, sf_dir, UPSERT_T)
     batch = incr.changed_rows(now["obs"], UPSERT_T)
-    return upsert_by_key(old["obs"], batch, ["obs_id"], order_by=["date_created"])
+    return upsert_by_key(old["obs"], batch, ["obs_id"], order_by=["date_created"], null_safe=False)
 
 
 def q_upsert_no_cursor(spark, sf_dir):

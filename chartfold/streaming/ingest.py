@@ -26,7 +26,7 @@ def merge_batch_into(table: VersionedTable, keys, order_by=("date_created",),
         if batch.isEmpty():
             return
         stored = table.read()
-        merged = upsert_by_key(stored, batch, keys, order_by=list(order_by))
+        merged = upsert_by_key(stored, batch, keys, order_by=list(order_by), null_safe=False)
         table.write(merged)
         if after is not None:
             after(batch, epoch_id)

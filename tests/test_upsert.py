@@ -56,3 +56,11 @@ def test_delete_insert_and_duplicates(spark):
     assert _sorted(delete_insert(target, fresh, deleted, "id")) == [(1, "a"), (2, "B")]
     dup = spark.createDataFrame([(1,), (1,), (2,)], "id long")
     assert _sorted(duplicate_keys(dup, ["id"])) == [(1, 2)]
+
+
+def test_primary_key_merge_equals_null_safe_merge(spark):
+    target = spark.createDataFrame([(1, "a", 1), (2, "b", 1)], "id long, v string, ts long")
+    batch = spark.createDataFrame([(2, "B", 2), (2, "X", 1), (3, "c", 2)], "id long, v string, ts long")
+    a = upsert_by_key(target, batch, ["id"], order_by=["ts"])
+    b = upsert_by_key(target, batch, ["id"], order_by=["ts"], null_safe=False)
+    assert _sorted(a) == _sorted(b)
