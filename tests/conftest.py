@@ -16,6 +16,7 @@ def spark():
     from pyspark.sql import SparkSession
     builder = (SparkSession.builder.master("local[*]")
                .config("spark.sql.shuffle.partitions", "8")
+               .config("spark.driver.memory", "4g")      # one JVM runs the whole suite
                .config("spark.ui.enabled", "false")
                .config("spark.sql.session.timeZone", "UTC"))
     s = builder.getOrCreate()
