@@ -8,10 +8,13 @@ from .common import table
 from .decontaminate import contamination
 from .fingerprint import fingerprint_documents
 from .line_dedup import dedup_lines
+from .mixing import mix, train_domains
 from .ngram_join import jaccard_components
 from .sharding import shard_documents
 from .token_files import token_documents
+from .toxicity import held_out, score_texts, train
 from .url_filter import RULES, SOFT_NEEDED, SOFT_TERMS, STRICT_TERMS, filter_urls
+from .warc import build_derivatives
 
 
 def op1_ngram_join(spark, sf_dir):
@@ -33,11 +36,24 @@ def op4_sharding(spark, sf_dir):
     return shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op5_warc_derivatives(spark, sf_dir):
+    d = build_derivatives(table(spark, sf_dir, "pages"))
+    return d.select("page_id", "kind", "record_id", "refers_to", "target_uri", "source_digest", "block_digest",
+                    F.length("record").cast("long").alias("n_bytes"), F.sha2("record", 256).alias("record_sha256"))
+
+
 def op6_line_dedup(spark, sf_dir):
     d = dedup_lines(table(spark, sf_dir, "documents"))
     return d.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op7_toxicity(spark, sf_dir):
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = train(docs, labels.where(~held_out(F.col("doc_id"))))
+    s = score_texts(docs, model)
+    return s.select("row.doc_id", held_out(F.col("row.doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def byte_bpe_path():
     import public_tokenizers
     return public_tokenizers.path("byte_bpe_50k.json")
@@ -51,6 +67,12 @@ def op9_url_filter(spark, sf_dir):
     return filter_urls(table(spark, sf_dir, "pages"))
 
 
+def op10_mixing(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    m = mix(docs, train_domains(docs, table(spark, sf_dir, "labels")))
+    return m.select("row.doc_id", "tokens", F.col("p")[0].alias("p_low"), F.col("p")[1].alias("p_high"), "rate")
+
+
 def registry():
     return {k: v for k, v in globals().items() if k.startswith("op") and k[2].isdigit()}
 
