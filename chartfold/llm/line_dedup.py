@@ -132,6 +132,7 @@ def repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     bits = spark.sparkContext.broadcast(whole.tobytes())
     suspects = durable(docs.where("doc_id is not null").mapInArrow(_suspects(min_chars, log_bits, bits), "doc_id bigint, line int, key binary"))
     confirmed = suspects.groupBy("key").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
+    confirmed = durable(confirmed)  # as a table of its own it leaves the join's shuffle free to be split at hot keys
     return (suspects.join(confirmed.select("key", "first"), "key").where("doc_id != first")
             .groupBy("doc_id").agg(F.collect_set("line").alias("drop")))
 
