@@ -271,12 +271,14 @@ def _segments(n_words):
     return run
 
 
-def _count_links(pairs: DataFrame, docs: DataFrame, sets: DataFrame, threshold: int, n_words: int) -> DataFrame:
+def _segment_table(ids: DataFrame, docs: DataFrame, sets: DataFrame, n_words: int) -> DataFrame:
+    """(sid, frag, grams) of the sets named in ``ids`` (sid)."""
+    texts = docs.join(sets.join(ids.distinct(), "sid").select("sid", "doc_id"), "doc_id").select("sid", "text")
+    return durable(texts.mapInArrow(_segments(n_words), "sid binary, frag int, grams array<bigint>").dropDuplicates(["sid", "frag"]))
+
+
+def _count_links(pairs: DataFrame, seg: DataFrame, threshold: int) -> DataFrame:
     """Of the pairs (a, b) those that reach the threshold, by partial overlaps summed over the fragments."""
-    ids = pairs.select(F.col("a").alias("sid")).unionByName(pairs.select(F.col("b").alias("sid"))).distinct()
-    wanted = sets.join(ids, "sid").select("sid", "doc_id")
-    texts = docs.join(wanted, "doc_id").select("sid", "text")
-    seg = durable(texts.mapInArrow(_segments(n_words), "sid binary, frag int, grams array<bigint>").dropDuplicates(["sid", "frag"]))
     left = pairs.join(seg.withColumnsRenamed({"sid": "b", "grams": "gb"}), "b")
     both = left.join(seg.withColumnsRenamed({"sid": "a", "grams": "ga"}), ["a", "frag"])
     counted = (both.select("a", "b", F.size("ga").alias("na"), F.size("gb").alias("nb"),
@@ -285,6 +287,21 @@ def _count_links(pairs: DataFrame, docs: DataFrame, sets: DataFrame, threshold:
     return counted.where(100 * F.col("both") >= threshold * (F.col("na") + F.col("nb") - F.col("both"))).select("a", "b")
 
 
+def _bounds(seg: DataFrame) -> DataFrame:
+    """(sid, n, shared): size of each set and how many of its n-grams any other set of ``seg`` has."""
+    size = seg.groupBy("sid").agg(F.sum(F.size("grams")).alias("n"))
+    alone = (seg.select("sid", F.explode("grams").alias("gram")).groupBy("gram")
+             .agg(F.count(F.lit(1)).alias("sets"), F.min("sid").alias("sid")).where("sets = 1")
+             .groupBy("sid").agg(F.count(F.lit(1)).alias("own")))
+    return size.join(alone, "sid", "left").select("sid", "n", (F.col("n") - F.coalesce("own", F.lit(0))).alias("shared"))
+
+
+def _apart(members: DataFrame) -> DataFrame:
+    """Members of the groups that still hold two components."""
+    split = members.groupBy("gid").agg(F.min("label").alias("l"), F.max("label").alias("h")).where("l != h").select("gid")
+    return members.join(split, "gid")
+
+
 def _pairs(met: DataFrame) -> DataFrame:
     return met.select(F.least("head", "other").alias("a"), F.greatest("head", "other").alias("b")).distinct()
 
@@ -314,18 +331,25 @@ def jaccard_components(docs: DataFrame, threshold: int = THRESHOLD, n_words: int
     # a star around the set that is in most groups of each group's sets
     lead = ranked.groupBy("gid").agg(F.max(F.struct("degree", "sid")).alias("x")).select("gid", F.col("x.sid").alias("head"))
     tried = durable(_pairs(ranked.join(lead, "gid").where("sid != head").select("head", F.col("sid").alias("other"))))
-    links = durable(_count_links(tried, docs, sets, threshold, n_words))
+    heads = tried.select(F.col("a").alias("sid")).unionByName(tried.select(F.col("b").alias("sid")))
+    links = durable(_count_links(tried, _segment_table(heads, docs, sets, n_words), threshold))
     labels = durable(components(links))
-    # pairs of a group that are not in one component yet
+    # Pairs of a group that are not in one component yet.  Two sets have no more n-grams in common than either shares with
+    # any set that is left, which bounds their likeness: sets and pairs that cannot reach the threshold go first.
     named = ranked.join(labels.withColumnRenamed("node", "sid"), "sid", "left").withColumn("label", F.coalesce("label", "sid"))
-    split = named.groupBy("gid").agg(F.min("label").alias("l"), F.max("label").alias("h")).where("l != h").select("gid")
-    apart = durable(named.join(split, "gid"))
+    apart = durable(_apart(named).select("gid", "sid", "label"))
     if not apart.isEmpty():
-        x = apart.select("gid", F.col("sid").alias("head"), F.col("label").alias("head_label"))
-        y = apart.select("gid", F.col("sid").alias("other"), F.col("label").alias("other_label"))
-        rest = _pairs(x.join(y, "gid").where("head_label < other_label").select("head", "other"))
+        seg = _segment_table(apart.select("sid"), docs, sets, n_words)
+        apart = apart.join(durable(_bounds(seg)), "sid")
+        low = apart.groupBy("gid").agg(F.min("n").alias("least"))
+        apart = apart.join(low, "gid").where((100 + threshold) * F.col("shared") >= threshold * (F.col("n") + F.col("least"))).drop("least")
+        apart = durable(_apart(apart))
+        x, y = (apart.select("gid", *[F.col(c).alias(side + c) for c in ("sid", "label", "n", "shared")]) for side in ("x_", "y_"))
+        met = x.join(y, (x.gid == y.gid) & (F.col("x_label") < F.col("y_label"))
+                     & ((100 + threshold) * F.least("x_shared", "y_shared") >= threshold * (F.col("x_n") + F.col("y_n"))))
+        rest = _pairs(met.select(F.col("x_sid").alias("head"), F.col("y_sid").alias("other")))
         rest = durable(rest.join(tried, ["a", "b"], "left_anti"))
-        labels = durable(components(links.unionByName(_count_links(rest, docs, sets, threshold, n_words))))
+        labels = durable(components(links.unionByName(_count_links(rest, seg, threshold))))
 
     named = sets.join(labels.withColumnRenamed("node", "sid"), "sid", "left").withColumn("label", F.coalesce("label", "sid"))
     least = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))
