@@ -14,7 +14,7 @@ and the counts are summed per pair.
 
 Texts with equal sets are one node (id: 128 bits of the set), so copies
 never meet each other.  Within a candidate group only a star around the set
-that occurs in most groups is counted first; pairs of the group that are then
+that shares most segments is counted first; pairs of the group that are then
 in one component need no count, all others are counted then.  Sets in one map batch that share a
 segment with many others are attached to one leader before the shuffle.
 """
@@ -241,9 +241,9 @@ def possible_members(members: DataFrame) -> DataFrame:
     size = members.groupBy("gid").agg(F.count(F.lit(1)).alias("size"))
     ranked = (members.join(size, "gid").withColumn("have", F.sum("weight").over(key))
               .withColumn("before", F.sum("weight").over(key.orderBy("size", "gid").rowsBetween(Window.unboundedPreceding, -1))))
-    kept = ranked.where("have >= need and coalesce(before, 0) < have - greatest(need, 1) + 1").select("gid", "sid")
+    kept = ranked.where("have >= need and coalesce(before, 0) < have - greatest(need, 1) + 1").select("gid", "sid", "have")
     size = kept.groupBy("gid").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    return kept.join(size, "gid").select("gid", "sid")
+    return kept.join(size, "gid").select("gid", "sid", "have")
 
 
 def _segments(n_words):
@@ -302,8 +302,20 @@ def _apart(members: DataFrame) -> DataFrame:
     return members.join(split, "gid")
 
 
+def _can_link(threshold: int):
+    return (100 + threshold) * F.least("x_shared", "y_shared") >= threshold * (F.col("x_n") + F.col("y_n"))
+
+
+def _reachable(members: DataFrame, threshold: int) -> DataFrame:
+    """Members that some set of their group may be linked with, by the bound; groups of one set go."""
+    low = members.groupBy("gid").agg(F.min("n").alias("least"))
+    near = members.join(low, "gid").where((100 + threshold) * F.col("shared") >= threshold * (F.col("n") + F.col("least"))).drop("least")
+    size = near.groupBy("gid").agg(F.count(F.lit(1)).alias("size")).where("size > 1").select("gid")
+    return near.join(size, "gid")
+
+
 def _pairs(met: DataFrame) -> DataFrame:
-    return met.select(F.least("head", "other").alias("a"), F.greatest("head", "other").alias("b")).distinct()
+    return met.select(F.least("x_sid", "y_sid").alias("a"), F.greatest("x_sid", "y_sid").alias("b")).distinct()
 
 
 def jaccard_components(docs: DataFrame, threshold: int = THRESHOLD, n_words: int = N_WORDS) -> DataFrame:
@@ -324,31 +336,27 @@ def jaccard_components(docs: DataFrame, threshold: int = THRESHOLD, n_words: int
     payloads = docs.mapInArrow(_emit(buckets, threshold, n_words), "bucket int, attached boolean, payload binary")
     members = durable(payloads.groupBy("bucket").applyInArrow(_members, "gid bigint, cls int, sid binary, need int, weight int")
                       .groupBy("gid", "cls", "sid", "need").agg(F.sum("weight").alias("weight")))
-    members = possible_members(members)
-    degree = members.groupBy("sid").agg(F.count(F.lit(1)).alias("degree"))
-    ranked = durable(members.join(degree, "sid"))
-
-    # a star around the set that is in most groups of each group's sets
-    lead = ranked.groupBy("gid").agg(F.max(F.struct("degree", "sid")).alias("x")).select("gid", F.col("x.sid").alias("head"))
-    tried = durable(_pairs(ranked.join(lead, "gid").where("sid != head").select("head", F.col("sid").alias("other"))))
-    heads = tried.select(F.col("a").alias("sid")).unionByName(tried.select(F.col("b").alias("sid")))
-    links = durable(_count_links(tried, _segment_table(heads, docs, sets, n_words), threshold))
+    members = durable(possible_members(members))
+    seg = _segment_table(members.select("sid"), docs, sets, n_words)
+    # Two sets have no more n-grams in common than either shares with any set that is left, which bounds their
+    # likeness: sets and pairs that cannot reach the threshold go before any pair is counted.
+    sized = members.join(durable(_bounds(seg)), "sid")
+    sized = durable(_reachable(sized, threshold))
+
+    # a star around the set of each group that shares most segments with others
+    lead = sized.groupBy("gid").agg(F.max(F.struct("have", "sid", "n", "shared")).alias("x")).select(
+        "gid", *[F.col("x." + c).alias("x_" + c) for c in ("sid", "n", "shared")])
+    met = sized.select("gid", *[F.col(c).alias("y_" + c) for c in ("sid", "n", "shared")]).join(lead, "gid")
+    tried = durable(_pairs(met.where((F.col("x_sid") != F.col("y_sid")) & _can_link(threshold))))
+    links = durable(_count_links(tried, seg, threshold))
     labels = durable(components(links))
-    # Pairs of a group that are not in one component yet.  Two sets have no more n-grams in common than either shares with
-    # any set that is left, which bounds their likeness: sets and pairs that cannot reach the threshold go first.
-    named = ranked.join(labels.withColumnRenamed("node", "sid"), "sid", "left").withColumn("label", F.coalesce("label", "sid"))
-    apart = durable(_apart(named).select("gid", "sid", "label"))
+    # pairs of a group that are not in one component yet
+    named = sized.join(labels.withColumnRenamed("node", "sid"), "sid", "left").withColumn("label", F.coalesce("label", "sid"))
+    apart = durable(_reachable(_apart(named), threshold))
     if not apart.isEmpty():
-        seg = _segment_table(apart.select("sid"), docs, sets, n_words)
-        apart = apart.join(durable(_bounds(seg)), "sid")
-        low = apart.groupBy("gid").agg(F.min("n").alias("least"))
-        apart = apart.join(low, "gid").where((100 + threshold) * F.col("shared") >= threshold * (F.col("n") + F.col("least"))).drop("least")
-        apart = durable(_apart(apart))
         x, y = (apart.select("gid", *[F.col(c).alias(side + c) for c in ("sid", "label", "n", "shared")]) for side in ("x_", "y_"))
-        met = x.join(y, (x.gid == y.gid) & (F.col("x_label") < F.col("y_label"))
-                     & ((100 + threshold) * F.least("x_shared", "y_shared") >= threshold * (F.col("x_n") + F.col("y_n"))))
-        rest = _pairs(met.select(F.col("x_sid").alias("head"), F.col("y_sid").alias("other")))
-        rest = durable(rest.join(tried, ["a", "b"], "left_anti"))
+        met = x.join(y, (x.gid == y.gid) & (F.col("x_label") < F.col("y_label")) & _can_link(threshold))
+        rest = durable(_pairs(met).join(tried, ["a", "b"], "left_anti"))
         labels = durable(components(links.unionByName(_count_links(rest, seg, threshold))))
 
     named = sets.join(labels.withColumnRenamed("node", "sid"), "sid", "left").withColumn("label", F.coalesce("label", "sid"))
