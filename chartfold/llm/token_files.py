@@ -15,6 +15,9 @@ from __future__ import annotations
 
 import os
 import re
+import struct
+import sys
+import types
 import uuid
 import zlib
 
@@ -24,15 +27,16 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .common import durable
+from .common import binary_parts, durable, row_chunks
 from .ranges import deal_by_id
 
 MAGIC = b"CFTOKEN1"
 BLOCK = 4096
 END_ID = 2
-IDS_A_FILE = 4 << 20             # a file is closed after the document that reaches this
+IDS_A_FILE = 2 << 20             # a file is closed after the document that reaches this
 CHARS_A_RANGE = 16 << 20         # characters that a range of documents holds about
-CACHE_UNITS = 300_000            # word units whose ids a task remembers
+CACHE_UNITS = 400_000            # units whose ids a worker remembers, about
+TEXT_AT_ONCE = 1 << 20           # bytes of text whose new units go to the library together
 _HEAD = np.dtype([("magic", "S8"), ("bits", "<u4"), ("block", "<u4"), ("documents", "<u8"), ("ids", "<u8")])
 
 
@@ -92,8 +96,9 @@ class Encoder:
     """Encodes texts with the tokenizers library by units that no merge crosses.
 
     The byte-level pattern always starts a new piece at a space that a non-space follows, so the ids of a text are
-    those of its units at these places, one after the other; the library encodes each unit once and its ids are
-    remembered (a bounded number).  A text that holds a special token goes to the library whole.
+    those of its units at these places, one after the other.  Texts of ASCII and Latin-1 letters are cut further, into the
+    pieces of the pattern itself, which has one reading there.  The library encodes each unit once and the ids of the
+    first units met (a bounded number, frequent ones among them) are remembered.  A text that holds a special token goes to the library whole.
     """
 
     def __init__(self, path: str):
@@ -103,60 +108,81 @@ class Encoder:
         self.bits = bits_for(self.tokenizer.get_vocab_size())
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.cut = re.compile(r" (?=\S)")
+        letters = "A-Za-zÀ-ÖØ-öø-ÿ"
+        self.odd = re.compile(rf"[^\n\r\t\x20-\x7E{letters}]")
+        self.pieces = re.compile(rf"'(?:s|t|re|ve|m|ll|d)| ?[{letters}]+| ?[0-9]+| ?[^\s{letters}0-9]+|\s+(?!\S)|\s+")
         self.known: dict[str, bytes] = {}
 
     def _units(self, text: str) -> list[str]:
-        pieces = self.cut.split(text)
-        return pieces[:1] + [" " + p for p in pieces[1:]]
-
-    def _library(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def encode(self, text: str) -> np.ndarray:
         if any(s in text for s in self.special):
-            return np.frombuffer(self._library([text])[0], "<u4")
-        units = self._units(text)
-        if len(self.known) > CACHE_UNITS:
-            self.known.clear()
-        known = self.known
-        new = list({u for u in units if u not in known})
-        if new:
-            known.update(zip(new, self._library(new)))
-        return np.frombuffer(b"".join([known[u] for u in units]), "<u4")
+            return [text]
+        if not self.odd.search(text):
+            return self.pieces.findall(text)
+        first, *rest = self.cut.split(text)
+        return [first] + [" " + p for p in rest]
+
+    def _library(self, units: list[str]) -> dict[str, bytes]:
+        coded = self.tokenizer.encode_batch_fast(units, add_special_tokens=False)
+        return {u: struct.pack(f"<{len(i)}I", *i) for u, i in zip(units, (e.ids for e in coded))}
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        flat, cuts = [], [0]
+        for t in texts:
+            flat += self._units(t)
+            cuts.append(len(flat))
+        got = list(map(self.known.get, flat))
+        missing = [i for i, g in enumerate(got) if g is None]
+        if missing:
+            made = self._library(list({flat[i] for i in missing}))
+            for i in missing:
+                got[i] = made[flat[i]]
+            if len(self.known) < CACHE_UNITS:
+                self.known.update(made)
+        return [np.frombuffer(b"".join(got[a:b]), "<u4") for a, b in zip(cuts, cuts[1:])]
+
+
+def _coder(path: str) -> Encoder:
+    """The encoder of this worker process: a worker serves many tasks and loads the vocabulary once."""
+    held = sys.modules.setdefault("chartfold_worker_state", types.ModuleType("chartfold_worker_state"))
+    if getattr(held, "path", None) != path:
+        held.path, held.coder = path, Encoder(path)
+    return held.coder
 
 
 def _write(folder: str, tokenizer: str, end_id: int):
     def run(batches):
         from pyarrow import fs
         store, root = fs.FileSystem.from_uri(folder if "://" in folder or folder.startswith("file:") else "file://" + folder)
-        coder = Encoder(tokenizer)
+        coder = _coder(tokenizer)
         end = np.array([end_id], "<u4")
         doc_ids, ends, held, total, part, seq = [], [], [], 0, None, 0
 
         def close():
             nonlocal doc_ids, ends, held, total, seq
-            ids = np.concatenate(held)
             name = f"{part:08d}-{seq:06d}-{uuid.uuid4().hex}.tok"
             with store.open_output_stream(f"{root}/{name}") as out:
-                out.write(encode_file(doc_ids, ends, ids, coder.bits))
+                out.write(encode_file(doc_ids, ends, np.concatenate(held), coder.bits))
             row = pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "seq": pa.array([seq], pa.int32()),
                                               "name": [name], "n_docs": [len(doc_ids)], "n_ids": [total]})
             doc_ids, ends, held, total, seq = [], [], [], 0, seq + 1
             return row
 
         for batch in batches:
-            for p, doc, text in zip(*(batch.column(c) for c in ("part", "doc_id", "text"))):
-                if p.as_py() != part:
-                    if doc_ids:
+            off, _ = binary_parts(batch.column("text"))
+            for lo, hi in row_chunks(off, TEXT_AT_ONCE):
+                some = batch.slice(lo, hi - lo)
+                coded = coder.encode([t or "" for t in some.column("text").to_pylist()])
+                for p, doc, ids in zip(some.column("part").to_pylist(), some.column("doc_id").to_pylist(), coded):
+                    if p != part:
+                        if doc_ids:
+                            yield close()
+                        part, seq = p, 0
+                    held += [ids, end]
+                    total += len(ids) + 1
+                    doc_ids.append(doc)
+                    ends.append(total)
+                    if total >= IDS_A_FILE:
                         yield close()
-                    part, seq = p.as_py(), 0
-                ids = coder.encode(text.as_py() or "")
-                held += [ids, end]
-                total += len(ids) + 1
-                doc_ids.append(doc.as_py())
-                ends.append(total)
-                if total >= IDS_A_FILE:
-                    yield close()
         if doc_ids:
             yield close()
     return run
