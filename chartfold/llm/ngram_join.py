@@ -32,6 +32,7 @@ from .components import components
 
 N_WORDS, THRESHOLD = 5, 80          # shingle width; likeness in hundredths
 VERIFY_FRAGMENTS = 4                # fragments in which candidate overlaps are counted
+RARE = 8                            # sets that share an n-gram at most for it to name pairs by itself
 LEADER_FROM = 8                     # sets of one batch that share a segment before a leader stands for them
 CHUNK_BYTES = 1 << 20            # text worked on at once
 FLUSH_SIGNATURES = 1 << 20       # signatures that a map task holds before it deals them out
@@ -287,13 +288,19 @@ def _count_links(pairs: DataFrame, seg: DataFrame, threshold: int) -> DataFrame:
     return counted.where(100 * F.col("both") >= threshold * (F.col("na") + F.col("nb") - F.col("both"))).select("a", "b")
 
 
-def _bounds(seg: DataFrame) -> DataFrame:
-    """(sid, n, shared): size of each set and how many of its n-grams any other set of ``seg`` has."""
+def _rare_grams(seg: DataFrame) -> DataFrame:
+    """(gram, sid, sets) of the n-grams that at most ``RARE`` sets of ``seg`` have."""
+    at = seg.select("sid", F.explode("grams").alias("gram"))
+    few = at.groupBy("gram").agg(F.count(F.lit(1)).alias("sets")).where(F.col("sets") <= RARE)
+    return at.join(few, "gram")
+
+
+def _bounds(seg: DataFrame, rare: DataFrame) -> DataFrame:
+    """(sid, n, shared, common): size of each set, its n-grams that another set of ``seg`` has, and those that more than ``RARE`` have."""
     size = seg.groupBy("sid").agg(F.sum(F.size("grams")).alias("n"))
-    alone = (seg.select("sid", F.explode("grams").alias("gram")).groupBy("gram")
-             .agg(F.count(F.lit(1)).alias("sets"), F.min("sid").alias("sid")).where("sets = 1")
-             .groupBy("sid").agg(F.count(F.lit(1)).alias("own")))
-    return size.join(alone, "sid", "left").select("sid", "n", (F.col("n") - F.coalesce("own", F.lit(0))).alias("shared"))
+    few = rare.groupBy("sid").agg(F.count(F.lit(1)).alias("rare"), F.count_if(F.col("sets") == 1).alias("own"))
+    return size.join(few, "sid", "left").select("sid", "n", (F.col("n") - F.coalesce("own", F.lit(0))).alias("shared"),
+                                                (F.col("n") - F.coalesce("rare", F.lit(0))).alias("common"))
 
 
 def _apart(members: DataFrame) -> DataFrame:
@@ -314,6 +321,10 @@ def _reachable(members: DataFrame, threshold: int) -> DataFrame:
     return near.join(size, "gid")
 
 
+def _sides(members: DataFrame, key: str):
+    return [members.select(key, *[F.col(c).alias(side + c) for c in ("sid", "label", "n", "shared")]) for side in ("x_", "y_")]
+
+
 def _pairs(met: DataFrame) -> DataFrame:
     return met.select(F.least("x_sid", "y_sid").alias("a"), F.greatest("x_sid", "y_sid").alias("b")).distinct()
 
@@ -340,7 +351,9 @@ def jaccard_components(docs: DataFrame, threshold: int = THRESHOLD, n_words: int
     seg = _segment_table(members.select("sid"), docs, sets, n_words)
     # Two sets have no more n-grams in common than either shares with any set that is left, which bounds their
     # likeness: sets and pairs that cannot reach the threshold go before any pair is counted.
-    sized = members.join(durable(_bounds(seg)), "sid")
+    rare = _rare_grams(seg)
+    bounds = durable(_bounds(seg, rare))
+    sized = members.join(bounds, "sid")
     sized = durable(_reachable(sized, threshold))
 
     # a star around the set of each group that shares most segments with others
@@ -354,9 +367,15 @@ def jaccard_components(docs: DataFrame, threshold: int = THRESHOLD, n_words: int
     named = sized.join(labels.withColumnRenamed("node", "sid"), "sid", "left").withColumn("label", F.coalesce("label", "sid"))
     apart = durable(_reachable(_apart(named), threshold))
     if not apart.isEmpty():
-        x, y = (apart.select("gid", *[F.col(c).alias(side + c) for c in ("sid", "label", "n", "shared")]) for side in ("x_", "y_"))
-        met = x.join(y, (x.gid == y.gid) & (F.col("x_label") < F.col("y_label")) & _can_link(threshold))
-        rest = durable(_pairs(met).join(tried, ["a", "b"], "left_anti"))
+        # Pairs without a rare n-gram in common have only common ones to share, a bound that few pass.  The other pairs meet
+        # on their rare n-grams, of which each names a bounded number of pairs.
+        frequent = _reachable(apart.withColumn("shared", F.col("common")), threshold)
+        x, y = _sides(frequent, "gid")
+        met = _pairs(x.join(y, (x.gid == y.gid) & (F.col("x_label") < F.col("y_label")) & _can_link(threshold)))
+        left = apart.select("sid", "label", "n", "shared").distinct()
+        x, y = _sides(rare.where("sets > 1").select("gram", "sid").join(left, "sid"), "gram")
+        few = _pairs(x.join(y, (x.gram == y.gram) & (F.col("x_label") < F.col("y_label")) & _can_link(threshold)))
+        rest = durable(met.unionByName(few).distinct().join(tried, ["a", "b"], "left_anti"))
         labels = durable(components(links.unionByName(_count_links(rest, seg, threshold))))
 
     named = sets.join(labels.withColumnRenamed("node", "sid"), "sid", "left").withColumn("label", F.coalesce("label", "sid"))
