@@ -376,7 +376,9 @@ def jaccard_components(docs: DataFrame, threshold: int = THRESHOLD, n_words: int
         x, y = _sides(rare.where("sets > 1").select("gram", "sid").join(left, "sid"), "gram")
         few = _pairs(x.join(y, (x.gram == y.gram) & (F.col("x_label") < F.col("y_label")) & _can_link(threshold)))
         rest = durable(met.unionByName(few).distinct().join(tried, ["a", "b"], "left_anti"))
-        labels = durable(components(links.unionByName(_count_links(rest, seg, threshold))))
+        more = durable(_count_links(rest, seg, threshold))
+        if not more.isEmpty():
+            labels = durable(components(links.unionByName(more)))
 
     named = sets.join(labels.withColumnRenamed("node", "sid"), "sid", "left").withColumn("label", F.coalesce("label", "sid"))
     least = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))
