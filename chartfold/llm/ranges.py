@@ -22,7 +22,7 @@ def deal_by_id(docs: DataFrame, key: str = "doc_id", weight=None, most: int | No
     bounds = docs.where(F.col(key).isNotNull()).agg(
         F.percentile_approx(key, [i / parts for i in range(1, parts)] or [0.5], max(1000, 20 * parts))).first()[0] or []
     bounds = sorted(set(bounds))
-    part = F.coalesce(F.expr(_rank_of(key, bounds)), F.lit(0))
+    part = F.when(F.col(key).isNull(), 0).otherwise(F.expr(_rank_of(key, bounds)))  # null keys first
     return docs.withColumn("part", part.cast("int")), len(bounds) + 1
 
 

@@ -100,7 +100,7 @@ def place_groups(groups: DataFrame, shards: int = SHARDS) -> DataFrame:
         if route is None:
             route = step
         else:
-            step = step.withColumnsRenamed({"bucket": "up", "subset": "into", "up": "up2", "into": "into2"})
+            step = step.select(*[F.col(a).alias(b) for a, b in (("bucket", "up"), ("subset", "into"), ("up", "up2"), ("into", "into2"))])
             route = route.join(step, ["up", "into"]).select("bucket", "subset", F.col("up2").alias("up"), F.col("into2").alias("into"))
     if route is None:
         return placed.select("key", F.col("subset").alias("shard"))
