@@ -32,12 +32,6 @@ def safe_name_col(c) -> Column:
     return F.substring(F.lower(s), 1, MAX_NAME_LEN)
 
 
-def safe_name(text: str) -> str:
-    s = _PY_CLASS.sub("_", text).replace(" ", "_")
-    s = re.sub("_+", "_", s).strip("_")
-    return s.lower()[:MAX_NAME_LEN]
-
-
 def column_name_col(family: Column, concept: Column, answer: Column) -> Column:
     """``{concept}_{answer}`` for coded, ``{concept}_{suffix}`` otherwise."""
     suffix = F.when(family == "coded", safe_name_col(answer))

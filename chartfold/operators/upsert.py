@@ -17,15 +17,26 @@ from pyspark.sql import functions as F
 from .joins import null_safe_keys
 
 
+#: Written at extraction where the source gives an order of arrival; it decides before any date.
+INGEST_SEQ = "_ingest_seq"
+AUDIT_DATES = ("date_created", "date_changed", "date_voided")
+
+
+def change_order(batch: DataFrame) -> list[Column]:
+    """Order of the versions of a row: arrival, where known (an un-void clears its date), then the change cursor."""
+    order = [F.col(INGEST_SEQ)] if INGEST_SEQ in batch.columns else []
+    return order + ([change_cursor(batch)] if AUDIT_DATES[0] in batch.columns else [])
+
+
 def latest_per_key(batch: DataFrame, keys, order_by=()) -> DataFrame:
+    """One row per key: the greatest by ``order_by`` (names or columns), ties by the other columns in order."""
     keys = list(keys)
-    order_by = [c for c in order_by if c not in keys]
-    rest = [c for c in batch.columns if c not in keys and c not in order_by]
-    payload = order_by + rest
+    order = [F.col(c) if isinstance(c, str) else c for c in order_by if not (isinstance(c, str) and c in keys)]
+    payload = [c for c in batch.columns if c not in keys]
     if not payload:
         return batch.select(*keys).distinct()
     # Field names are positional to avoid clashes with user column names.
-    st = F.struct(*[F.col(c).alias(f"f{i}") for i, c in enumerate(payload)])
+    st = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)], *[F.col(c).alias(f"f{i}") for i, c in enumerate(payload)])
     agg = batch.groupBy(*keys).agg(F.max(st).alias("__w"))
     return agg.select(*keys, *[F.col(f"__w.f{i}").alias(c) for i, c in enumerate(payload)]) \
               .select(*batch.columns)
@@ -38,6 +49,8 @@ def upsert_by_key(target: DataFrame, batch: DataFrame, keys, order_by=(),
     Spark into ``coalesce`` join keys, which forces both sides to be shuffled again)."""
     keys = list(keys)
     b = latest_per_key(batch, keys, order_by) if dedupe else batch
+    if INGEST_SEQ not in target.columns:
+        b = b.drop(INGEST_SEQ)
     if not null_safe:
         kept = target.join(b.select(*keys), keys, "left_anti")
         out = kept.unionByName(b, allowMissingColumns=True)
@@ -72,3 +85,20 @@ def change_cursor(df: DataFrame, base: str = "date_created",
     """Greatest of the audit timestamps present (H1): catches edits and voids."""
     cols = [base] + [c for c in extra if c in df.columns]
     return F.greatest(*[F.col(c) for c in cols]) if len(cols) > 1 else F.col(base)
+
+
+def changed_between(df: DataFrame, since, until=None, cols=AUDIT_DATES) -> Column:
+    """A row is changed if any of its dates lies in [since, until].
+
+    Plain comparisons joined by OR reach the parquet scan or the JDBC query; a
+    comparison of their greatest does not.
+    """
+    out = None
+    for c in cols:
+        if c in df.columns:
+            one = F.col(c) >= F.lit(since)
+            one = one if until is None else one & (F.col(c) <= F.lit(until))
+            out = one if out is None else out | one
+    if out is None:
+        raise ValueError(f"none of {list(cols)} in the table")
+    return out

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from ..catalog import spec as table_spec
 from ..operators.joins import bounded_broadcasts
-from ..operators.upsert import change_cursor, delete_insert, latest_per_key, upsert_by_key
+from ..operators.upsert import change_cursor, change_order, changed_between, delete_insert, latest_per_key, upsert_by_key
 from ..sources.derived import with_tables
 from .flatten import flatten_observations
 from .pivot import CatalogEntry, PivotSpec, build_catalog, catalog_frame, widen
@@ -39,8 +39,10 @@ def high_water_mark(df: DataFrame, col: str | Column):
 
 
 def changed_rows(current: DataFrame, since, until=None, cursor: Column | None = None) -> DataFrame:
-    """Cursor scan (S2): rows whose change cursor is in [since, until]."""
-    cur = cursor if cursor is not None else change_cursor(current)
+    """Cursor scan (S2): rows with an audit date, or the given cursor, in [since, until]."""
+    if cursor is None:
+        return current.where(changed_between(current, since, until))
+    cur = cursor
     out = current.where(cur >= F.lit(since))
     if until is not None:
         out = out.where(cur <= F.lit(until))
@@ -54,7 +56,7 @@ def ingest(stored: dict[str, DataFrame], current: dict[str, DataFrame], since,
     for n in names:
         keys = table_spec(n).keys
         batch = changed_rows(current[n], since)
-        out[n] = upsert_by_key(stored[n], batch, keys, order_by=["date_created"], null_safe=False)
+        out[n] = upsert_by_key(stored[n], batch, keys, order_by=change_order(batch), null_safe=False)
     return out
 
 

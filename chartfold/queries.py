@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from .functions.classify import value_type
 from .plans.flatten import flatten_appointments, flatten_observations, flatten_patient_program, latest_states
-from .operators.upsert import delete_insert, upsert_by_key
+from .operators.upsert import change_order, delete_insert, upsert_by_key
 from .plans import incremental as incr
 from .plans.pivot import ENCOUNTER_KEYS, PivotSpec, build_catalog, catalog_frame, coded_answers, concept_types, widen
 from .plans import analytics as an
@@ -182,7 +182,7 @@ def q_high_water_marks(spark, sf_dir):
 def q_upsert_raw(spark, sf_dir):
     old, now = _old_and_now(spark, sf_dir, UPSERT_T)
     batch = incr.changed_rows(now["obs"], UPSERT_T)
-    return upsert_by_key(old["obs"], batch, ["obs_id"], order_by=["date_created"], null_safe=False)
+    return upsert_by_key(old["obs"], batch, ["obs_id"], order_by=change_order(batch), null_safe=False)
 
 
 def q_upsert_no_cursor(spark, sf_dir):

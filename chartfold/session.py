@@ -51,7 +51,9 @@ def storage_root(spark: SparkSession) -> str:
             # getCheckpointDir appends a per-application uuid folder.
             root = os.path.dirname(root.rstrip("/"))
     if not root:
-        # Only for local runs without a configured shared folder.
+        # Executors of a cluster would each write to their own disk.
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="chartfold-")
         spark.conf.set("spark.checkpoint.dir", root)
     if spark.sparkContext.getCheckpointDir() is None:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..catalog import RAW_TABLES, TableSpec
-from ..operators.upsert import change_cursor
+from ..operators.upsert import changed_between
 
 FLAG_COLUMNS = ("voided", "retired", "preferred", "locale_preferred", "dead", "initial", "terminal")
 
@@ -62,12 +62,13 @@ def normalize_flags(df: DataFrame) -> DataFrame:
 def cursor_scan(df: DataFrame, spec: TableSpec, since=None, business_time: bool = False) -> DataFrame:
     """Rows changed at or after ``since`` (S2).  ``business_time`` uses the table's own
     cursor column (as the source loader did: obs_datetime, encounter_datetime - S2a);
-    by default the change cursor is the greatest of date_created/date_changed/date_voided (H1)."""
+    by default any of date_created/date_changed/date_voided counts (H1)."""
     if since is None or spec.cursor is None:
         return df
+    if business_time:
+        return df.where(F.col(spec.cursor) >= F.lit(since))
     base = "date_created" if "date_created" in df.columns else spec.cursor
-    cur = F.col(spec.cursor) if business_time else change_cursor(df, base=base)
-    return df.where(cur >= F.lit(since))
+    return df.where(changed_between(df, since, cols=(base, "date_changed", "date_voided")))
 
 
 def load_raw(reader: Reader, names=None, since=None, business_time: bool = False) -> dict[str, DataFrame]:
@@ -78,6 +79,3 @@ def load_raw(reader: Reader, names=None, since=None, business_time: bool = False
         out[name] = cursor_scan(normalize_flags(reader(name)), spec, since, business_time)
     return out
 
-
-def empty_like(spark: SparkSession, schema: T.StructType) -> DataFrame:
-    return spark.createDataFrame([], schema)

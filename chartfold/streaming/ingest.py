@@ -14,19 +14,19 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..catalog import spec as table_spec
-from ..operators.upsert import upsert_by_key
+from ..operators.upsert import change_order, upsert_by_key
 from ..session import storage_root
 from ..sources.storage import VersionedTable
 
 
-def merge_batch_into(table: VersionedTable, keys, order_by=("date_created",),
+def merge_batch_into(table: VersionedTable, keys, order_by=None,
                      after: Callable[[DataFrame, int], None] | None = None):
     """foreachBatch handler: ``table := upsert_by_key(table, batch)``."""
     def handle(batch: DataFrame, epoch_id: int) -> None:
         if batch.isEmpty():
             return
         stored = table.read()
-        merged = upsert_by_key(stored, batch, keys, order_by=list(order_by), null_safe=False)
+        merged = upsert_by_key(stored, batch, keys, order_by=change_order(batch) if order_by is None else list(order_by), null_safe=False)
         table.write(merged)
         if after is not None:
             after(batch, epoch_id)

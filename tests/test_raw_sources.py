@@ -1,5 +1,6 @@
 """Raw scans: landed parquet tables, flag normalisation, cursor pushdown."""
 import datetime as dt
+import re
 
 from pyspark.sql import functions as F
 
@@ -34,8 +35,12 @@ def test_landed_tables_are_normalised_and_cursor_filtered(spark):
     assert sorted(r.obs_id for r in changed.collect()) == [2, 3]           # new row + later void (H1)
     business = load_raw(reader, ["obs"], since=since, business_time=True)["obs"]
     assert sorted(r.obs_id for r in business.collect()) == [3]              # misses the void (S2a)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    changed = load_raw(reader, ["obs"], since=since)["obs"]
     plan = changed._jdf.queryExecution().executedPlan().toString()
-    assert "PushedFilters" in plan
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    pushed = re.search(r"PushedFilters: \[(.*?)\], ReadSchema", plan)[1]
+    assert all(f"GreaterThanOrEqual({c}," in pushed for c in ("date_created", "date_changed", "date_voided"))
 
 
 def test_normalize_keeps_booleans(spark):

@@ -1,5 +1,7 @@
 """Key-merge contract (S3-S5) and delete+insert."""
-from chartfold.operators.upsert import delete_insert, duplicate_keys, latest_per_key, upsert_by_key
+import datetime as dt
+
+from chartfold.operators.upsert import change_order, changed_between, delete_insert, duplicate_keys, latest_per_key, upsert_by_key
 
 
 def _sorted(df):
@@ -64,3 +66,31 @@ def test_primary_key_merge_equals_null_safe_merge(spark):
     a = upsert_by_key(target, batch, ["id"], order_by=["ts"])
     b = upsert_by_key(target, batch, ["id"], order_by=["ts"], null_safe=False)
     assert _sorted(a) == _sorted(b)
+
+
+def _versions(spark, rows):
+    return spark.createDataFrame(rows, "id long, v double, voided boolean, date_created timestamp_ntz, date_changed timestamp_ntz, "
+                                       "date_voided timestamp_ntz, _ingest_seq long")
+
+
+def test_later_edit_wins_though_its_value_is_smaller(spark):
+    t = [dt.datetime(2024, 1, d) for d in range(1, 5)]
+    batch = _versions(spark, [(1, 70.0, False, t[0], t[1], None, 1), (1, 60.0, False, t[0], t[2], None, 2)])
+    stored = batch.limit(0).drop("_ingest_seq")
+    for b in (batch, batch.drop("_ingest_seq")):
+        out = upsert_by_key(stored, b, ["id"], order_by=change_order(b), null_safe=False).collect()
+        assert [r.v for r in out] == [60.0] and "_ingest_seq" not in out[0]
+
+
+def test_unvoid_wins_by_arrival(spark):
+    t = [dt.datetime(2024, 1, d) for d in range(1, 5)]
+    batch = _versions(spark, [(1, 5.0, True, t[0], None, t[2], 1), (1, 5.0, False, t[0], None, None, 2)])
+    out = upsert_by_key(batch.limit(0).drop("_ingest_seq"), batch, ["id"], order_by=change_order(batch)).collect()
+    assert [r.voided for r in out] == [False]
+
+
+def test_range_keeps_a_row_created_in_it_and_changed_after(spark):
+    t = [dt.datetime(2024, 1, d) for d in range(1, 9)]
+    rows = spark.createDataFrame([(1, t[1], t[6]), (2, t[0], t[6]), (3, t[0], t[2]), (4, t[0], None)],
+                                 "id long, date_created timestamp_ntz, date_changed timestamp_ntz")
+    assert sorted(r.id for r in rows.where(changed_between(rows, t[1], t[3])).collect()) == [1, 3]
