@@ -35,7 +35,7 @@ VERIFY_FRAGMENTS = 4                # fragments in which candidate overlaps are
 RARE = 8                            # sets that share an n-gram at most for it to name pairs by itself
 LEADER_FROM = 8                     # sets of one batch that share a segment before a leader stands for them
 CHUNK_BYTES = 1 << 20            # text worked on at once
-FLUSH_SIGNATURES = 1 << 20       # signatures that a map task holds before it deals them out
+FLUSH_SIGNATURES = 1 << 19       # signatures that a map task holds before it deals them out
 _COEFF = np.array([mix_int(1001 + j) | 1 for j in range(64)], dtype=np.uint64)
 
 

@@ -35,7 +35,7 @@ BLOCK = 4096
 END_ID = 2
 IDS_A_FILE = 2 << 20             # a file is closed after the document that reaches this
 CHARS_A_RANGE = 16 << 20         # characters that a range of documents holds about
-CACHE_UNITS = 400_000            # units whose ids a worker remembers, about
+CACHE_UNITS = 300_000            # units whose ids a worker remembers, about
 TEXT_AT_ONCE = 1 << 20           # bytes of text whose new units go to the library together
 _HEAD = np.dtype([("magic", "S8"), ("bits", "<u4"), ("block", "<u4"), ("documents", "<u8"), ("ids", "<u8")])
 

@@ -28,7 +28,7 @@ STEM_LENGTHS = (4, 5, 6, 7, 8)
 LEAST_LOG_ODDS = 2.5
 LEAST_EVIDENCE = 14.0          # log likelihood ratio against the share of toxic texts: about one chance term in a million
 WINDOW = 6
-STATES = 200_000               # automaton states remembered
+STATES = 60_000                # automaton states, and words, remembered; both are built anew beyond
 
 WORD = re.compile(r"[^\W\d_]+")
 QUOTE_MARKS = "\"'“”„«»‘’`"
