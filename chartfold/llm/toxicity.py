@@ -64,8 +64,9 @@ class LexiconAutomaton:
         self.reset()
 
     def reset(self):
-        self.ids = {}
+        self.ids: dict[tuple[int, ...], int] = {}
         self.sets, self.steps = [], []
+        self.stems, self.words = [], []               # what a state accepts: (term, edits) or None
         self.start = self._state({0: 0})
 
     def _state(self, nodes: dict[int, int]) -> int:
@@ -77,11 +78,23 @@ class LexiconAutomaton:
                     if e + 1 <= self.most[child] and nodes.get(child, 9) > e + 1:
                         nodes[child] = e + 1
                         todo.append((child, e + 1))
-        key = frozenset(nodes.items())
+        key = tuple(sorted(node << 2 | e for node, e in nodes.items()))
         if key not in self.ids:
             self.ids[key] = len(self.sets)
-            self.sets.append(nodes)
+            self.sets.append(key)
             self.steps.append({})
+            stem = word = None
+            for pair in key:
+                i, e = self.ends[pair >> 2], pair & 3
+                if i is None:
+                    continue
+                term, is_stem = self.terms[i]
+                if is_stem:
+                    stem = stem or ((i, 0) if e == 0 else None)
+                elif e <= (2 if len(term) >= 9 else 1 if len(term) >= 5 else 0) and (word is None or e < word[1]):
+                    word = (i, e)
+            self.stems.append(stem)
+            self.words.append(word)
         return self.ids[key]
 
     def _step(self, state: int, ch: str) -> int:
@@ -91,39 +104,33 @@ class LexiconAutomaton:
             if e <= self.most[node] and out.get(node, 9) > e:
                 out[node] = e
 
-        for node, e in self.sets[state].items():
-            for c, child in self.next[node].items():
-                put(child, e + (c != ch))             # equal letter or another one
-            put(node, e + 1)                          # a letter too many
+        for pair in self.sets[state]:
+            node, e = pair >> 2, pair & 3
+            if e < self.most[node]:
+                for c, child in self.next[node].items():
+                    put(child, e + (c != ch))         # equal letter or another one
+                put(node, e + 1)                      # a letter too many
+            elif ch in self.next[node]:
+                put(self.next[node][ch], e)
         to = self._state(out) if out else -1
         self.steps[state][ch] = to
         return to
 
     def match(self, word: str) -> tuple[int, int] | None:
-        """(term, edits) of the nearest term, or None."""
+        """(term, edits) of the nearest term, or None; of equally near ones the first of the trie."""
         if len(self.sets) > STATES:
             self.reset()
-        state, stem = self.start, None
+        state, stem, steps, stems = self.start, None, self.steps, self.stems
         for ch in word:
-            to = self.steps[state].get(ch)
+            to = steps[state].get(ch)
             if to is None:
                 to = self._step(state, ch)
             if to < 0:
                 return stem
             state = to
-            if stem is None:
-                for node, e in self.sets[state].items():
-                    i = self.ends[node]
-                    if e == 0 and i is not None and self.terms[i][1]:
-                        stem = (i, 0)
-        best = stem
-        for node, e in self.sets[state].items():
-            i = self.ends[node]
-            if i is not None and not self.terms[i][1]:
-                term = self.terms[i][0]
-                if e <= (2 if len(term) >= 9 else 1 if len(term) >= 5 else 0) and (best is None or e < best[1]):
-                    best = (i, e)
-        return best
+            stem = stem or stems[state]
+        best = self.words[state]
+        return best if stem is None or (best is not None and best[1] < stem[1]) else stem
 
 
 class Scorer:
