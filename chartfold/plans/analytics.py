@@ -7,10 +7,14 @@ each task keeps only k rows).
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.joins import bounded_broadcast
+from .pivot import PivotSpec, build_catalog, widen
 
 
 def _count(name: str = "n_rows"):
@@ -21,15 +25,29 @@ def obs_count_by_concept(obs: DataFrame, concept_name: DataFrame) -> DataFrame:
     """Obs per preferred name (any locale, so one obs counts under each preferred name)."""
     cn = bounded_broadcast(concept_name.where(F.col("locale_preferred"))
                            .select("concept_id", F.col("name").alias("concept_name")))
-    return obs.join(cn, "concept_id").groupBy("concept_name").agg(_count("n_obs"))
+    return obs.join(cn, "concept_id").groupBy("concept_name").agg(_count("n_obs")).orderBy(F.desc("n_obs"), "concept_name")
+
+
+#: Series of measurements by the start of their concept names.
+VITAL_SERIES = {"weight": "Weight", "blood_pressure": "Blood pressure", "lab": "Lab result"}
+
+
+def avg_vitals_by_visit(flat: DataFrame, weight: str = VITAL_SERIES["weight"], bp: str = VITAL_SERIES["blood_pressure"]) -> DataFrame:
+    """Average weight and systolic pressure per visit start and person, over the numeric columns of the wide table."""
+    name = F.col("concept_name")
+    spec = PivotSpec(concept_filter=name.startswith(weight) | name.startswith(bp), families=("numeric",))
+    catalog = build_catalog(flat, spec)
 
+    def mean(start, out):
+        cells = [F.col(f"`{e.name}`") for e in catalog if e.concept.startswith(start)]
+        if not cells:
+            return F.lit(None).cast("double").alias(out)
+        total = reduce(add, [F.coalesce(c.cast("double"), F.lit(0.0)) for c in cells])
+        n = reduce(add, [c.isNotNull().cast("long") for c in cells])
+        return F.round(F.when(F.sum(n) > 0, F.sum(total) / F.sum(n)), 6).alias(out)
 
-def avg_vitals_by_visit(flat: DataFrame, weight_like: str = "Weight%", bp_like: str = "Blood pressure%") -> DataFrame:
-    """Average weight and systolic pressure per visit start and person."""
-    v = F.col("value_numeric")
-    return flat.groupBy("visit_date_started", "person_id").agg(
-        F.round(F.avg(F.when(F.col("concept_name").like(weight_like), v)), 6).alias("avg_weight"),
-        F.round(F.avg(F.when(F.col("concept_name").like(bp_like), v)), 6).alias("avg_systolic_bp"))
+    wide = widen(flat, spec, catalog=catalog)
+    return wide.groupBy("visit_date_started", "person_id").agg(mean(weight, "avg_weight"), mean(bp, "avg_systolic_bp"))
 
 
 def encounter_type_distribution(wide: DataFrame) -> DataFrame:
@@ -97,11 +115,12 @@ def missing_value_rates(wide: DataFrame, columns=None) -> DataFrame:
     return stacked.select("s.column_name", "s.null_rate")
 
 
-def patient_vital_series(flat: DataFrame, like: str = "Weight%") -> DataFrame:
-    """A person's measurements of one kind over time."""
-    return (flat.where(F.col("concept_name").like(like) & F.col("value_numeric").isNotNull())
-                .select("person_id", "date_created", "concept_name", "value_numeric")
-                .orderBy("person_id", "date_created"))
+def patient_vital_series(flat: DataFrame, series: dict = VITAL_SERIES) -> DataFrame:
+    """A person's measurements of each kind over time."""
+    kind = F.coalesce(*[F.when(F.col("concept_name").startswith(start), F.lit(k)) for k, start in series.items()])
+    return (flat.where(F.col("value_numeric").isNotNull())
+                .select(kind.alias("series"), "person_id", "date_created", "concept_name", "value_numeric")
+                .where(F.col("series").isNotNull()).orderBy("series", "person_id", "date_created"))
 
 
 def patients_with_identifiers(person: DataFrame, patient_identifier: DataFrame) -> DataFrame:

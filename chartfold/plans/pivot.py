@@ -77,6 +77,11 @@ class PivotSpec:
     def agg(self, family: str, c: Column) -> Column:
         return self.aggregates.get(family, F.max)(c)
 
+    def agg_cells(self, family: str, c: Column) -> Column:
+        """The aggregate over the cells of a group that hold a value; NULL in a group without one, in both plans."""
+        out = self.agg(family, c)
+        return F.when(F.count(c) > 0, out) if family in self.aggregates else out
+
 
 @dataclass(frozen=True)
 class CatalogEntry:
@@ -183,9 +188,9 @@ def widen_conditional(flat: DataFrame, catalog: list[CatalogEntry], spec: PivotS
         hit = concept == F.lit(e.concept)
         if e.family == "coded":
             cond = hit & (F.col(spec.answer) == F.lit(e.answer))
-            aggs.append(spec.agg("coded", F.when(cond, F.lit(1)).otherwise(F.lit(0))).alias(e.name))
+            aggs.append(F.coalesce(spec.agg_cells("coded", F.when(cond, F.lit(1))), F.lit(0)).alias(e.name))
         else:
-            aggs.append(spec.agg(e.family, F.when(hit, F.col(spec.value_col(e.family)))).alias(e.name))
+            aggs.append(spec.agg_cells(e.family, F.when(hit, F.col(spec.value_col(e.family)))).alias(e.name))
     if not aggs:
         return flat.select(*spec.keys).distinct()
     return flat.groupBy(*spec.keys).agg(*aggs)
@@ -198,12 +203,12 @@ def widen_long(flat: DataFrame, catalog: list[CatalogEntry], spec: PivotSpec = P
 def fold_cells(flat: DataFrame, catalog: list[CatalogEntry], spec: PivotSpec = PivotSpec()) -> DataFrame:
     """Cells pre-aggregated per (group, column id), then folded into one map per group."""
     spark = flat.sparkSession
-    # The catalog is already on the driver, so its size is known: broadcast is bounded.
-    if len(catalog) > MAX_BROADCAST_CATALOG:
-        raise ValueError(f"{len(catalog)} columns: split the concepts over several wide tables")
-    cat = F.broadcast(catalog_frame(spark, catalog).select(
+    cat = catalog_frame(spark, catalog).select(
         F.col("col_id").alias("__cid"), F.col("concept").alias("__concept"),
-        F.col("family").alias("__family"), F.col("answer").alias("__answer")))
+        F.col("family").alias("__family"), F.col("answer").alias("__answer"))
+    # The catalog is already on the driver, so its size is known: broadcast is bounded, beyond it the join shuffles.
+    if len(catalog) <= MAX_BROADCAST_CATALOG:
+        cat = F.broadcast(cat)
     fam = F.col("__family")
     match = ((fam == "coded") & (F.col(spec.answer) == F.col("__answer")))
     for f in ("numeric", "text", "datetime", "drug"):

@@ -287,7 +287,7 @@ def q_obs_count_by_concept(spark, sf_dir):
 
 
 def q_avg_vitals_by_visit(spark, sf_dir):
-    return an.avg_vitals_by_visit(flatten_observations(source(spark, sf_dir).tables()))
+    return an.avg_vitals_by_visit(flat_obs_table(spark, sf_dir))
 
 
 def q_encounter_type_distribution(spark, sf_dir):
