@@ -157,3 +157,15 @@ def test_both_plans_aggregate_before_shuffling(spark, readme_example):
     for strategy in STRATEGIES:
         plan = widen(readme_example, strategy=strategy)._jdf.queryExecution().executedPlan().toString()
         assert "partial_max" in plan, strategy
+
+
+@pytest.mark.parametrize("strategy", STRATEGIES)
+@pytest.mark.parametrize("fn,weight,flag", [("sum", 12.0, 1), ("avg", 6.0, 1), ("min", 5.0, 1), ("count", 2, 1)])
+def test_aggregates_see_cells_only_in_both_plans(spark, strategy, fn, weight, flag):
+    from pyspark.sql import functions as F
+    df = flat_df(spark, [obs(1, 1, "Weight", num=5.0), obs(1, 1, "Weight", num=7.0), obs(1, 1, "Flag", coded=5, answer="Yes"),
+                         obs(2, 2, "Note", text="x")])
+    agg = getattr(F, fn)
+    w = rows_by(widen(df, PivotSpec(aggregates={"numeric": agg, "coded": agg}), strategy=strategy))
+    assert w[1]["weight_value"] == weight and w[1]["flag_yes"] == flag
+    assert w[2]["weight_value"] is None and w[2]["flag_yes"] == 0
