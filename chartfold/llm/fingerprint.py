@@ -1,7 +1,8 @@
 """Document fingerprints by consistent weighted sampling.
 
-The terms of a text are its pairs of adjacent words (one word alone: that word) with their counts as
-weights; texts of up to 256 bytes also give their 4-byte windows with a fifth of the weight, as few words say little.  For each of K samples a
+The terms of a text of any length are its pairs of adjacent words with their counts as weights, and with a fifth of the
+weight the pieces of its words, as few words say little: a word is cut after every 4 bytes whose hash has
+``PIECE_BITS`` leading zeros, so a cut depends on the bytes around it alone, and one word without any space has pieces too.  For each of K samples a
 term has r, c ~ Gamma(2, 1) and b ~ U(0, 1); with t = floor(ln w / r + b) it scores ln c - r (t - b + 1), and the term of the least
 score with its t is the sample.  Two texts have the same sample with the probability of their generalised Jaccard
 likeness sum min(w) / sum max(w).  The random variables come from a seeded table of 32,768 rows,
@@ -22,8 +23,11 @@ from .ranges import deal_by_id
 
 SAMPLES = 64
 TABLE_ROWS = 1 << 15
-SHORT_BYTES = 256
+PIECE_BITS = 3                      # 2**3 bytes in a piece of a long word, about
 _PAIR = np.uint64(mix_int(31) | 1)
+_SPACE = not_space()
+_LOW = np.arange(256, dtype=np.uint8)
+_LOW[65:91] += np.uint8(32)
 _TABLES: dict = {}
 
 
@@ -39,21 +43,18 @@ def _tables(samples: int, seed: int = 20240101):
 
 
 def weighted_terms(text: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """(term hashes uint64, weights float32) of a text; empty for one without any byte."""
+    """(term hashes uint64, weights float32) of a text; empty for one without any word."""
     if not text:
         return np.empty(0, np.uint64), np.empty(0, np.float32)
     data = np.frombuffer(text, np.uint8)
-    words, _ = word_hashes(data, np.array([0, len(data)], np.int64), not_space())
-    if len(words) > 1:
-        words = mix(words[:-1] * _PAIR + words[1:])
-    terms, counts = np.unique(words, return_counts=True)
-    weights = counts.astype(np.float32)
-    if len(data) <= SHORT_BYTES:
-        pad = np.concatenate((data.astype(np.uint64), np.zeros(3, np.uint64)))
-        grams = pad[:-3] | pad[1:-2] << np.uint64(8) | pad[2:-1] << np.uint64(16) | pad[3:] << np.uint64(24)
-        grams, more = np.unique(mix(grams + _PAIR), return_counts=True)
-        terms, weights = np.concatenate((terms, grams)), np.concatenate((weights, more.astype(np.float32) / 5))
-    return terms, weights
+    words, _ = word_hashes(data, np.array([0, len(data)], np.int64), _SPACE)
+    pairs, counts = np.unique(mix(words[:-1] * _PAIR + words[1:]), return_counts=True)
+    low = _LOW[data]
+    grams = np.ndarray(max(0, len(low) - 3), "<u4", low, strides=(1,)) * np.uint32(0x9E3779B1)
+    cut = np.insert(data, np.flatnonzero(grams >> np.uint32(32 - PIECE_BITS) == 0) + 4, 0x20)
+    pieces, _ = word_hashes(cut, np.array([0, len(cut)], np.int64), _SPACE)
+    pieces, more = np.unique(mix(pieces + _PAIR), return_counts=True)
+    return np.concatenate((pairs, pieces)), np.concatenate((counts.astype(np.float32), more.astype(np.float32) / 5))
 
 
 def sample_text(text: bytes, samples: int = SAMPLES) -> np.ndarray:

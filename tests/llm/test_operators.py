@@ -85,6 +85,19 @@ def test_consistent_sampling_estimates_generalised_jaccard():
     assert abs(np.mean(errors)) < 0.04
 
 
+@pytest.mark.parametrize("kind", ["words", "no spaces"])
+def test_near_copies_across_256_bytes_share_their_terms(kind):
+    rng = np.random.default_rng(4)
+    for _ in range(30):
+        a = words(rng, 90, 80)
+        a = a[:a.rindex(" ", 0, 253)] if kind == "words" else "".join(chr(x) for x in rng.integers(0x4E00, 0x5E00, 84))
+        b = a + (" another" if kind == "words" else "\u4e8c\u4e09\u56db")
+        assert len(a.encode()) <= 256 < len(b.encode())
+        x, y = (dict(zip(*(v.tolist() for v in fingerprint.weighted_terms(t.encode())))) for t in (a, b))
+        assert sum(min(x.get(k, 0), y.get(k, 0)) for k in x | y) > 0.85 * sum(max(x.get(k, 0), y.get(k, 0)) for k in x | y)
+    assert fingerprint.weighted_terms(b" ")[0].size == 0 and fingerprint.weighted_terms("二".encode())[0].size
+
+
 def test_decontamination_edges(spark):
     docs = frame(spark, [(1, "AAA one-two three 4 five six seven eight nine ten eleven"), (2, "short É item"), (3, None), (3, "Short é item"), (None, "short É item x"), (4, "")])
     bench = spark.createDataFrame([(10, "one two three 4 five six seven eight nine ten eleven twelve"), (11, "short É ITEM"), (11, "short É ITEM"),
