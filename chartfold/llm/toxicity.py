@@ -2,8 +2,8 @@
 
 Learning: words and word starts that are far more frequent in texts labelled toxic become lexicon terms (exact words, or
 stems that stand for every word that begins with them).  Matching: the trie of the lexicon and the
-Levenshtein automata of its words are one deterministic automaton, built as it is walked; a term of five letters or more is
-also found with one edit, one of nine or more with two.  Every hit is weighed by its context window: quotation marks and
+Levenshtein automata of its words are one deterministic automaton, built as it is walked; a term of five letters or more, word or
+stem, is also found with one edit, one of nine or more with two.  Every hit is weighed by its context window: quotation marks and
 reporting words around it speak for a quotation, words for "you" and exclamation marks for abuse.  A
 logistic model on the weighed hits gives the score.
 """
@@ -37,10 +37,16 @@ REPORTING = frozenset("said says say called calls quote quoted quotes word words
 ADDRESS = frozenset("you your yours youre u ur tu vous toi te ton du dich dein ihr euch usted ustedes vos ti".split())
 
 
+def allowance(term: str) -> int:
+    """Edits with which a term is still found."""
+    return 2 if len(term) >= 9 else 1 if len(term) >= 5 else 0
+
+
 class LexiconAutomaton:
     """Trie of the lexicon times the Levenshtein automata of its terms, determinised on demand.
 
-    A state is a set of (trie node, edits so far); a stem accepts any continuation once it is read in full.
+    A state is a set of (trie node, edits so far); a stem accepts any continuation once it is read up to its last letter,
+    right or wrong: a word that ends before that letter is no form of the stem.
     """
 
     def __init__(self, terms: list[tuple[str, bool]]):
@@ -48,8 +54,9 @@ class LexiconAutomaton:
         self.next: list[dict[str, int]] = [{}]
         self.ends: list[int | None] = [None]
         self.most: list[int] = [0]                   # edits that some term below allows
+        self.free: list[int] = [-1]                  # edits with which the stem that ends here is found
         for i, (term, stem) in enumerate(terms):
-            node, allowed = 0, 0 if stem else (2 if len(term) >= 9 else 1 if len(term) >= 5 else 0)
+            node, allowed = 0, allowance(term)
             self.most[0] = max(self.most[0], allowed)
             for ch in term:
                 if ch not in self.next[node]:
@@ -57,19 +64,24 @@ class LexiconAutomaton:
                     self.next.append({})
                     self.ends.append(None)
                     self.most.append(0)
+                    self.free.append(-1)
                 node = self.next[node][ch]
                 self.most[node] = max(self.most[node], allowed)
             if self.ends[node] is None:
                 self.ends[node] = i
+                self.free[node] = allowed if stem else -1
         self.reset()
 
     def reset(self):
-        self.ids: dict[tuple[int, ...], int] = {}
+        self.ids: dict[tuple, int] = {}
         self.sets, self.steps = [], []
         self.stems, self.words = [], []               # what a state accepts: (term, edits) or None
         self.start = self._state({0: 0})
 
     def _state(self, nodes: dict[int, int]) -> int:
+        # before letters are left out: a stem's last letter has been read
+        e, node = min(((e, node) for node, e in nodes.items() if e <= self.free[node]), default=(0, None))
+        stem = None if node is None else (self.ends[node], e)
         todo = list(nodes.items())
         while todo:                                   # a letter of the term left out
             node, e = todo.pop()
@@ -78,20 +90,16 @@ class LexiconAutomaton:
                     if e + 1 <= self.most[child] and nodes.get(child, 9) > e + 1:
                         nodes[child] = e + 1
                         todo.append((child, e + 1))
-        key = tuple(sorted(node << 2 | e for node, e in nodes.items()))
+        pairs = tuple(sorted(node << 2 | e for node, e in nodes.items()))
+        key = (pairs, stem)
         if key not in self.ids:
             self.ids[key] = len(self.sets)
-            self.sets.append(key)
+            self.sets.append(pairs)
             self.steps.append({})
-            stem = word = None
-            for pair in key:
+            word = None
+            for pair in pairs:
                 i, e = self.ends[pair >> 2], pair & 3
-                if i is None:
-                    continue
-                term, is_stem = self.terms[i]
-                if is_stem:
-                    stem = stem or ((i, 0) if e == 0 else None)
-                elif e <= (2 if len(term) >= 9 else 1 if len(term) >= 5 else 0) and (word is None or e < word[1]):
+                if i is not None and not self.terms[i][1] and e <= allowance(self.terms[i][0]) and (word is None or e < word[1]):
                     word = (i, e)
             self.stems.append(stem)
             self.words.append(word)
@@ -128,7 +136,11 @@ class LexiconAutomaton:
             if to < 0:
                 return stem
             state = to
-            stem = stem or stems[state]
+            found = stems[state]
+            if found is not None and (stem is None or found[1] < stem[1]):
+                stem = found
+                if not stem[1]:
+                    return stem
         best = self.words[state]
         return best if stem is None or (best is not None and best[1] < stem[1]) else stem
 

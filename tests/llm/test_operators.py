@@ -183,6 +183,39 @@ def test_levenshtein_automaton_against_brute_force():
         assert hit is None or hit[1] == min(want)[0], w
 
 
+def test_stems_allow_edits_against_brute_force():
+    terms = [("lowei", True), ("réeux", True), ("achlich", True), ("nast", True), ("worthless", False), ("lower", False)]
+    machine = toxicity.LexiconAutomaton(terms)
+
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            old, row = row, [i]
+            for j, y in enumerate(b, 1):
+                row.append(min(old[j] + 1, row[-1] + 1, old[j - 1] + (x != y)))
+        return row[-1]
+
+    def edits(w, t, stem):
+        if not stem:
+            return distance(w, t)
+        return min((distance(w[:k - 1], t[:-1]) + (w[k - 1] != t[-1]) for k in range(1, len(w) + 1)), default=9)
+
+    rng, seen = np.random.default_rng(6), set()
+    for _ in range(4000):
+        t, stem = terms[rng.integers(0, len(terms))]
+        w = list(t + ("ung" if stem and rng.integers(0, 2) else ""))
+        for _ in range(rng.integers(0, 3)):
+            at = int(rng.integers(0, len(w)))
+            w[at:at + int(rng.integers(0, 2))] = list(rng.choice(["", "e", "x", "h"], 1))
+        w = "".join(w)
+        want = [e for t, stem in terms if (e := edits(w, t, stem)) <= (2 if len(t) >= 9 else 1 if len(t) >= 5 else 0)]
+        hit = machine.match(w)
+        assert (None if hit is None else hit[1]) == (min(want) if want else None), w
+        seen.add(None if hit is None else (terms[hit[0]][1], hit[1]))
+    assert {(True, 0), (True, 1), (False, 0), (False, 2), None} <= seen
+    assert machine.match("rexeuxement") is None and machine.match("rébeuxement") == (1, 1) and machine.match("achlchkeit") == (2, 1)
+
+
 def test_toxicity_held_out_and_quotation(spark):
     rng = np.random.default_rng(2)
     rows, marks = [], []
