@@ -13,9 +13,9 @@ into fragments again, the partial overlap of each fragment is counted on its own
 and the counts are summed per pair.
 
 Texts with equal sets are one node (id: 128 bits of the set), so copies
-never meet each other.  Within a candidate group only a star around the set
+never meet each other.  For the components alone, within a candidate group only a star around the set
 that shares most segments is counted first; pairs of the group that are then
-in one component need no count, all others are counted then.  Sets in one map batch that share a
+in one component need no count, all others are counted then.  For the links every candidate pair is counted.  Sets in one map batch that share a
 segment with many others are attached to one leader before the shuffle.
 """
 
@@ -329,16 +329,8 @@ def _pairs(met: DataFrame) -> DataFrame:
     return met.select(F.least("x_sid", "y_sid").alias("a"), F.greatest("x_sid", "y_sid").alias("b")).distinct()
 
 
-def jaccard_components(docs: DataFrame, threshold: int = THRESHOLD, n_words: int = N_WORDS) -> DataFrame:
-    """(doc_id, n_shingles, component_id, n_copies) for documents (doc_id, text, ...).
-
-    component_id is the smallest doc_id that links reach; n_copies counts
-    the documents with the same shingle set.  Null or empty text: n_shingles 0, linked
-    with nothing.  Rows with a repeated doc_id are rows of their own and all
-    returned; rows with a null doc_id are returned with their component's smallest
-    known doc_id.  Very long texts are one row each and never cut.  An empty table gives no rows.  Other
-    columns are ignored, whatever their names.
-    """
+def _candidates(docs: DataFrame, threshold: int, n_words: int):
+    """(facts of the documents, sets, segments of the candidate sets, their rare n-grams, memberships that a link may depend on)."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     facts = durable(docs.mapInArrow(_describe(n_words), "doc_id bigint, n_shingles bigint, sid binary"))
@@ -355,7 +347,42 @@ def jaccard_components(docs: DataFrame, threshold: int = THRESHOLD, n_words: int
     bounds = durable(_bounds(seg, rare))
     sized = members.join(bounds, "sid")
     sized = durable(_reachable(sized, threshold))
+    return facts, sets, seg, rare, sized
+
+
+def _met_pairs(apart: DataFrame, rare: DataFrame, threshold: int) -> DataFrame:
+    """Pairs of members with different labels that may be linked.
+
+    Pairs without a rare n-gram in common have only common ones to share, a bound that few pass.  The other pairs meet
+    on their rare n-grams, of which each names a bounded number of pairs.
+    """
+    frequent = _reachable(apart.withColumn("shared", F.col("common")), threshold)
+    x, y = _sides(frequent, "gid")
+    met = _pairs(x.join(y, (x.gid == y.gid) & (F.col("x_label") < F.col("y_label")) & _can_link(threshold)))
+    left = apart.select("sid", "label", "n", "shared").distinct()
+    x, y = _sides(rare.where("sets > 1").select("gram", "sid").join(left, "sid"), "gram")
+    few = _pairs(x.join(y, (x.gram == y.gram) & (F.col("x_label") < F.col("y_label")) & _can_link(threshold)))
+    return met.unionByName(few).distinct()
+
+
+def _places(sets: DataFrame, labels: DataFrame) -> DataFrame:
+    """(sid, component_id, n_copies) of every set."""
+    named = sets.join(labels.withColumnRenamed("node", "sid"), "sid", "left").withColumn("label", F.coalesce("label", "sid"))
+    least = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))
+    return named.join(least, "label").select("sid", "component_id", "n_copies")
+
 
+def jaccard_components(docs: DataFrame, threshold: int = THRESHOLD, n_words: int = N_WORDS) -> DataFrame:
+    """(doc_id, n_shingles, component_id, n_copies) for documents (doc_id, text, ...).
+
+    component_id is the smallest doc_id that links reach; n_copies counts
+    the documents with the same shingle set.  Null or empty text: n_shingles 0, linked
+    with nothing.  Rows with a repeated doc_id are rows of their own and all
+    returned; rows with a null doc_id are returned with their component's smallest
+    known doc_id.  Very long texts are one row each and never cut.  An empty table gives no rows.  Other
+    columns are ignored, whatever their names.
+    """
+    facts, sets, seg, rare, sized = _candidates(docs, threshold, n_words)
     # a star around the set of each group that shares most segments with others
     lead = sized.groupBy("gid").agg(F.max(F.struct("have", "sid", "n", "shared")).alias("x")).select(
         "gid", *[F.col("x." + c).alias("x_" + c) for c in ("sid", "n", "shared")])
@@ -367,22 +394,28 @@ def jaccard_components(docs: DataFrame, threshold: int = THRESHOLD, n_words: int
     named = sized.join(labels.withColumnRenamed("node", "sid"), "sid", "left").withColumn("label", F.coalesce("label", "sid"))
     apart = durable(_reachable(_apart(named), threshold))
     if not apart.isEmpty():
-        # Pairs without a rare n-gram in common have only common ones to share, a bound that few pass.  The other pairs meet
-        # on their rare n-grams, of which each names a bounded number of pairs.
-        frequent = _reachable(apart.withColumn("shared", F.col("common")), threshold)
-        x, y = _sides(frequent, "gid")
-        met = _pairs(x.join(y, (x.gid == y.gid) & (F.col("x_label") < F.col("y_label")) & _can_link(threshold)))
-        left = apart.select("sid", "label", "n", "shared").distinct()
-        x, y = _sides(rare.where("sets > 1").select("gram", "sid").join(left, "sid"), "gram")
-        few = _pairs(x.join(y, (x.gram == y.gram) & (F.col("x_label") < F.col("y_label")) & _can_link(threshold)))
-        rest = durable(met.unionByName(few).distinct().join(tried, ["a", "b"], "left_anti"))
+        rest = durable(_met_pairs(apart, rare, threshold).join(tried, ["a", "b"], "left_anti"))
         more = durable(_count_links(rest, seg, threshold))
         if not more.isEmpty():
             labels = durable(components(links.unionByName(more)))
-
-    named = sets.join(labels.withColumnRenamed("node", "sid"), "sid", "left").withColumn("label", F.coalesce("label", "sid"))
-    least = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    place = named.join(least, "label").select("sid", "component_id", "n_copies")
-    return (facts.join(place, "sid", "left")
+    return (facts.join(_places(sets, labels), "sid", "left")
             .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"),
                     F.coalesce("n_copies", F.lit(1)).cast("long").alias("n_copies")))
+
+
+def jaccard_links(docs: DataFrame, threshold: int = THRESHOLD, n_words: int = N_WORDS) -> DataFrame:
+    """(doc_id, n_shingles, component_id, n_links): as ``jaccard_components``, with the number of other rows that each row is linked with.
+
+    Every candidate pair of different sets is counted, also within a component; a link between two sets stands for
+    one between each two of their copies, and copies are linked with each other.  The cost grows with the number of links.
+    """
+    facts, sets, seg, rare, sized = _candidates(docs, threshold, n_words)
+    pairs = durable(_met_pairs(sized.withColumn("label", F.col("sid")), rare, threshold))
+    links = durable(_count_links(pairs, seg, threshold))
+    both = links.select(F.col("a").alias("sid"), F.col("b").alias("other")).unionByName(links.select(F.col("b").alias("sid"), F.col("a").alias("other")))
+    others = (both.join(sets.select(F.col("sid").alias("other"), "n_copies"), "other")
+              .groupBy("sid").agg(F.sum("n_copies").alias("linked")))
+    places = _places(sets, components(links)).join(others, "sid", "left")
+    return (facts.join(places, "sid", "left")
+            .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"),
+                    (F.coalesce("n_copies", F.lit(1)) - 1 + F.coalesce("linked", F.lit(0))).cast("long").alias("n_links")))

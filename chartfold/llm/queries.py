@@ -9,7 +9,7 @@ from .decontaminate import contamination
 from .fingerprint import fingerprint_documents
 from .line_dedup import dedup_lines
 from .mixing import mix, train_domains
-from .ngram_join import jaccard_components
+from .ngram_join import jaccard_components, jaccard_links
 from .sharding import shard_documents
 from .token_files import token_documents
 from .toxicity import held_out, score_texts, train
@@ -21,6 +21,10 @@ def op1_ngram_join(spark, sf_dir):
     return jaccard_components(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
+def op1_ngram_links(spark, sf_dir):
+    return jaccard_links(table(spark, sf_dir, "documents"))
+
+
 def op2_fingerprints(spark, sf_dir):
     return fingerprint_documents(table(spark, sf_dir, "documents"))
 
@@ -93,6 +97,8 @@ select n.doc_id, cast(n.n as bigint) as n_shingles, min(reach.b) as component_id
 from n join reach on reach.a = n.doc_id group by n.doc_id, n.n
 """
 
+OP1_LINKS_SQL = OP1_SQL.replace("min(reach.b) as component_id", "min(reach.b) as component_id, (select count(*) from both_ways t where t.a = n.doc_id) as n_links")
+
 _WORDS = "regexp_extract_all(" + _LOWER.format("coalesce(text, '')") + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 OP3_SQL = rf"""
@@ -143,4 +149,4 @@ from h
 
 
 def oracles():
-    return {"op1_ngram_join": OP1_SQL, "op3_decontaminate": OP3_SQL, "op6_line_dedup": OP6_SQL, "op9_url_filter": _op9_sql()}
+    return {"op1_ngram_join": OP1_SQL, "op1_ngram_links": OP1_LINKS_SQL, "op3_decontaminate": OP3_SQL, "op6_line_dedup": OP6_SQL, "op9_url_filter": _op9_sql()}

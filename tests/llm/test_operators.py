@@ -60,6 +60,16 @@ def test_ngram_join(spark, rows):
     assert sorted(got, key=str) == sorted(want, key=str)
 
 
+def test_ngram_links(spark, rows):
+    sets = brute_sets(rows)
+    want = [(i, sum(100 * len(x & y) >= 80 * len(x | y) for b, (_, y) in enumerate(sets) if a != b and x and y)) for a, (i, x) in enumerate(sets)]
+    made = ngram_join.jaccard_links(frame(spark, rows)).collect()
+    assert sorted(((r.doc_id, r.n_links) for r in made), key=str) == sorted(want, key=str)
+    assert max(n for _, n in want) > 20
+    parts = ngram_join.jaccard_components(frame(spark, rows)).collect()
+    assert sorted(((r.doc_id, r.component_id) for r in made), key=str) == sorted(((r.doc_id, r.component_id) for r in parts), key=str)
+
+
 def test_fingerprints(spark, rows):
     got = fingerprint.fingerprint_documents(frame(spark, [r for r in rows if r[0] != 207])).collect()
     ordered = sorted(((i if i is not None else -1, t or "") for i, t in rows if i != 207))
