@@ -12,9 +12,18 @@ from pyspark.sql import functions as F
 
 from .common import lower_ascii
 
-#: Vocabulary of the production query.  Terms are lower-case ASCII.
-STRICT_TERMS = ("porn", "xxx", "warez", "casino", "viagra")
-SOFT_TERMS = ("adult", "bet", "cams", "click", "crack", "dating", "download", "free", "poker", "promo", "sexy")
+#: General vocabulary of the production query.  Terms are lower-case ASCII letters and digits.  A strict term has no
+#: innocent use in a url to speak of and weighs as much as ``SOFT_NEEDED`` soft ones.
+STRICT_TERMS = tuple("porn porno pornography pornstar pornstars xxx hentai milf camgirl camgirls sexcam sexcams "
+                     "warez keygen keygens torrentz casino casinos viagra cialis levitra phentermine payday malware".split())
+SOFT_TERMS = tuple((
+    "adult adults babe babes cam cams dating escort escorts erotic erotica fetish hookup hookups hot naked nude nudes nsfw sex sexy singles webcam webcams "
+    "bet bets betting blackjack bingo bookmaker bookmakers gamble gambling jackpot jackpots lottery lotto odds poker roulette slot slots sportsbook stakes wager win winner "
+    "diet drug drugs meds pharma pharmacy pharmacies pill pills prescription rx steroid steroids supplements weightloss "
+    "bargain bonus bonuses cash cheap coupon coupons deal deals discount discounts earn free freebie freebies giveaway loan loans money offer offers prize prizes promo promos replica replicas rich sale "
+    "crack cracked cracks download downloads hack hacks mp3 pirate pirated serial serials torrent torrents "
+    "ad ads adserver adware affiliate affiliates banner banners beacon click clicks clickbait impression impressions pixel popup popups popunder retarget sponsor sponsored track tracker trackers tracking "
+    "backlink backlinks bulk doorway linkfarm phish phishing scam scams seo spam spammer spyware traffic").split())
 SOFT_NEEDED = 2
 
 #: (verdict, host, path) of the production query.

@@ -274,6 +274,16 @@ def test_url_filter(spark):
                    7: ("de.com", "/de/x", "com/de/", "block"), 8: ("notexample.net", "/casino", None, "block")}
 
 
+def test_url_filter_rejects_by_soft_terms_alone(spark):
+    urls = ["http://free-bets.net/", "http://cheap-pills.net/a", "http://m.ads-track.net/", "http://a.net/spam/backlinks?x", "http://b.net/online-pharmacy/discounts",
+            "http://cheap.net/", "http://a.net/pharmacy-history", "http://cheap.net/cheap", "http://adsorb.net/trackside-spammy"]
+    assert len(set(url_filter.SOFT_TERMS)) == len(url_filter.SOFT_TERMS) and not set(url_filter.SOFT_TERMS) & set(url_filter.STRICT_TERMS)
+    assert all(t.isascii() and t.isalnum() and t == t.lower() for t in url_filter.STRICT_TERMS + url_filter.SOFT_TERMS)
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = {r.page_id: (r.rule, r.verdict, r.strict_hits) for r in url_filter.filter_urls(pages).collect()}
+    assert got == {i: (None, "block" if i < 5 else "allow", 0) for i in range(len(urls))}
+
+
 def test_mixing_meets_targets(spark):
     rng = np.random.default_rng(3)
     rows = [(i, words(rng, 30) if i % 3 else "!!@@ ##$$ " * 20) for i in range(300)] + [(998, None), (999, "")]
