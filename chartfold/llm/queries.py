@@ -7,10 +7,13 @@ from pyspark.sql import functions as F
 from .common import table
 from .decontaminate import contamination
 from .fingerprint import fingerprint_documents
+from .importance import BUCKETS, LEAST_WORDS, PERCENT, SEED, resample
 from .line_dedup import dedup_lines
 from .mixing import mix, train_domains
 from .ngram_join import jaccard_components, jaccard_links
+from .periodic_runs import document_runs
 from .sharding import shard_documents
+from .token_counts import count_tokens
 from .token_files import token_documents
 from .toxicity import held_out, score_texts, train
 from .url_filter import RULES, SOFT_NEEDED, SOFT_TERMS, STRICT_TERMS, filter_urls
@@ -77,6 +80,18 @@ def op10_mixing(spark, sf_dir):
     return m.select("row.doc_id", "tokens", F.col("p")[0].alias("p_low"), F.col("p")[1].alias("p_high"), "rate")
 
 
+def op11_periodic_runs(spark, sf_dir):
+    return document_runs(table(spark, sf_dir, "documents"))
+
+
+def op12_token_counts(spark, sf_dir):
+    return count_tokens(table(spark, sf_dir, "documents"), byte_bpe_path())
+
+
+def op13_importance(spark, sf_dir):
+    return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def registry():
     return {k: v for k, v in globals().items() if k.startswith("op") and k[2].isdigit()}
 
@@ -148,5 +163,27 @@ from h
 """
 
 
+#: crc32 of each distinct word: the table of the polynomial by its eight shifts, then the word's bytes one after the other.
+OP13_SQL = rf"""
+with recursive shifts as (select cast(b as bigint) as b, cast(b as bigint) as c, 0 as k from range(256) t(b)
+  union all select b, case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end, k + 1 from shifts where k < 8),
+crc as (select list(c order by b) as t from shifts where k = 8),
+w as (select 0 as side, doc_id, unnest({_WORDS}) as word from documents union all select 1, null, unnest({_WORDS}) from benchmark),
+hexes as (select word, hex(encode(word)) as x from (select distinct word from w)),
+buckets as (select word, xor(4294967295, list_reduce(list_prepend(cast(4294967295 as bigint),
+    list_transform(range(1, length(x), 2), lambda i: cast(cast('0x' || substr(x, i, 2) as integer) as bigint))),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) % {BUCKETS} as bucket from hexes, crc),
+counts as (select bucket, count(*) filter (side = 0) as s, count(*) filter (side = 1) as t from w join buckets using (word) group by bucket),
+gains as (select bucket, cast(floor(1000 * ln((t + 1)::double * ((select sum(s) from counts)::double + {BUCKETS})
+  / ((s + 1)::double * ((select sum(t) from counts)::double + {BUCKETS})))) as bigint) as gain from counts),
+weights as (select doc_id, count(*) as n, sum(gain) as weight from w join buckets using (word) join gains using (bucket) where side = 0 group by doc_id),
+scored as (select d.doc_id, coalesce(n, 0) as n_features, cast(coalesce(weight, 0) as bigint) as weight,
+  cast(coalesce(weight, 0) + floor(-1000 * ln(-ln((cast('0x' || substr(sha256('{SEED}:' || d.doc_id), 1, 8) as bigint) + 0.5::double) / 4294967296::double))) as bigint) as score
+  from documents d left join weights using (doc_id)),
+ranked as (select doc_id, row_number() over (order by score desc, doc_id) as r, count(*) over () as n from scored where n_features >= {LEAST_WORDS})
+select s.doc_id, n_features, weight, score, case when r <= {PERCENT} * n // 100 then r end as rank from scored s left join ranked using (doc_id)
+"""
+
+
 def oracles():
-    return {"op1_ngram_join": OP1_SQL, "op1_ngram_links": OP1_LINKS_SQL, "op3_decontaminate": OP3_SQL, "op6_line_dedup": OP6_SQL, "op9_url_filter": _op9_sql()}
+    return {"op13_importance": OP13_SQL, "op1_ngram_join": OP1_SQL, "op1_ngram_links": OP1_LINKS_SQL, "op3_decontaminate": OP3_SQL, "op6_line_dedup": OP6_SQL, "op9_url_filter": _op9_sql()}
