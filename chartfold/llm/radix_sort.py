@@ -49,10 +49,8 @@ def radix_sort(rows: DataFrame, digits: list[Column], total: int, first: Column)
     blocks = max(1, min(total, max(shuffle_width(spark), -(-total // ROWS_A_BLOCK))))
     size = max(1, -(-total // blocks))
     now = rows.withColumns({"block": F.pmod(F.xxhash64(first), F.lit(blocks)), "at": first})
-    if not digits:
-        digits = [F.lit(0)]
-    for digit in digits:
-        keyed = now.withColumn("digit", digit.cast("int")).repartition(blocks, "block")
+    for digit in digits or [F.lit(0)]:
+        keyed = now.withColumn("digit", digit.cast("int"))
         counts = durable(keyed.groupBy("block", "digit").agg(F.count(F.lit(1)).alias("n")))
         base, run = [], 0
         for r in counts.groupBy("digit").agg(F.sum("n").alias("n")).orderBy("digit").collect():
@@ -60,10 +58,11 @@ def radix_sort(rows: DataFrame, digits: list[Column], total: int, first: Column)
             run += r.n
         bases = F.broadcast(spark.createDataFrame(base, "digit int, smaller long"))
         earlier = Window.partitionBy("digit").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-        offsets = (counts.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0))).join(bases, "digit")
-                   .select("block", "digit", (F.col("smaller") + F.col("before")).alias("offset")).repartition(blocks, "block"))
-        own = Window.partitionBy("block", "digit").orderBy("at")
-        placed = keyed.withColumn("own", F.row_number().over(own) - 1).join(offsets, ["block", "digit"])
-        place = F.col("offset") + F.col("own")
-        now = durable(placed.select(*rows.columns, F.floor(place / size).cast("long").alias("block"), place.alias("at")))
+        offsets = counts.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0))).join(bases, "digit").select(
+            "block", "digit", (F.col("smaller") + F.col("before")).alias("offset"))
+        # the offset of a block and digit goes ahead of its rows, so one window gives both the offset and the number in the block
+        own = Window.partitionBy("block", "digit").orderBy(F.col("offset").asc_nulls_last(), "at")
+        both = keyed.unionByName(offsets, allowMissingColumns=True).repartition(blocks, "block")
+        placed = both.withColumn("place", F.first("offset").over(own) + F.row_number().over(own) - 2).where("offset is null")
+        now = durable(placed.select(*rows.columns, F.floor(F.col("place") / size).cast("long").alias("block"), F.col("place").alias("at")))
     return now.select(*rows.columns, F.col("at").alias("place"))
