@@ -1,45 +1,71 @@
-"""Join helpers: broadcast only behind a row-count bound, null-safe key conditions."""
+"""Join helpers: broadcast only behind a bound on rows and bytes, null-safe key conditions."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# A dictionary table broadcast to every executor must stay well inside
-# executor memory; 2M narrow rows is a few hundred MB at most.
+# A dictionary table broadcast to every executor must stay well inside executor memory.
 DEFAULT_BROADCAST_ROWS = 2_000_000
+DEFAULT_BROADCAST_BYTES = 256 << 20
 
 
 _DECIDED: dict = {}
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """``F.broadcast(df)`` if df has at most ``max_rows`` rows, else df unchanged.
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """``F.broadcast(df)`` if df has at most ``max_rows`` rows of ``max_bytes`` together, else df unchanged.
 
     The check reads at most ``max_rows + 1`` rows, so its cost is bounded.
     Beyond the bound the join stays a shuffle join (AQE may still switch it
     to a broadcast at runtime from the measured shuffle size).
     """
-    return bounded_broadcasts([df], max_rows)[0]
+    return bounded_broadcasts([df], max_rows, max_bytes)[0]
 
 
-def bounded_broadcasts(dfs, max_rows: int = DEFAULT_BROADCAST_ROWS) -> list[DataFrame]:
+def _row_bytes(df: DataFrame) -> Column:
+    """Bytes of a row in memory, about: 8 a fixed-width column, the length and 16 of any other."""
+    total = F.lit(0).cast("long")
+    for f in df.schema.fields:
+        c = F.col("`" + f.name.replace("`", "``") + "`")
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            total = total + F.coalesce(F.octet_length(c), F.lit(0)) + 16
+        elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            total = total + F.coalesce(F.octet_length(c.cast("string")), F.lit(0)) + 16
+        else:
+            total = total + 8
+    return total
+
+
+def _decision_key(df: DataFrame, max_rows: int, max_bytes: int):
+    # the plan alone is the same after a folder has grown: the size of its files is not
+    plan = df._jdf.queryExecution().optimizedPlan()
+    sizes = tuple(str(leaf.stats().sizeInBytes()) for leaf in _seq(plan.collectLeaves()))
+    return df.sparkSession.sparkContext.applicationId, df.semanticHash(), sizes, max_rows, max_bytes
+
+
+def _seq(scala_seq):
+    return [scala_seq.apply(i) for i in range(scala_seq.size())]
+
+
+def bounded_broadcasts(dfs, max_rows: int = DEFAULT_BROADCAST_ROWS, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> list[DataFrame]:
     """``bounded_broadcast`` for several tables with one bounded counting job.
 
-    Decisions are remembered per (session, plan), so a dimension that is
-    joined again in the same session is not counted twice.
+    A decision is remembered for the same plan over files of the same size, so a
+    dimension that is joined again in the same session is not counted twice and one that has grown is.
     """
     dfs = list(dfs)
-    keys = [(id(d.sparkSession), d.semanticHash(), max_rows) for d in dfs]
+    keys = [_decision_key(d, max_rows, max_bytes) for d in dfs]
     todo = [i for i, k in enumerate(keys) if k not in _DECIDED]
     if todo:
-        parts = [dfs[i].limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"))
-                 .select(F.lit(j).alias("i"), "n") for j, i in enumerate(todo)]
+        parts = [dfs[i].limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(dfs[i])).alias("b"))
+                 .select(F.lit(j).alias("i"), "n", "b") for j, i in enumerate(todo)]
         counts = parts[0]
         for p in parts[1:]:
             counts = counts.unionByName(p)
         for row in counts.collect():   # one row per table
-            _DECIDED[keys[todo[row["i"]]]] = row["n"] <= max_rows
+            _DECIDED[keys[todo[row["i"]]]] = row["n"] <= max_rows and (row["b"] or 0) <= max_bytes
     return [F.broadcast(d) if _DECIDED[k] else d for d, k in zip(dfs, keys)]
 
 
@@ -51,9 +77,3 @@ def null_safe_keys(left: DataFrame, right: DataFrame, keys, right_keys=None) ->
         c = left[lk].eqNullSafe(right[rk])
         cond = c if cond is None else cond & c
     return cond
-
-
-def prefixed(df: DataFrame, prefix: str, cols=None) -> DataFrame:
-    """Select ``cols`` (default all) renamed to ``prefix + name``."""
-    cols = cols or df.columns
-    return df.select(*[F.col(c).alias(prefix + c) for c in cols])

@@ -18,18 +18,8 @@ from ..functions.sqlcompat import day_boundaries, flag, full_name, minute_bounda
 from ..operators.joins import bounded_broadcasts
 from ..operators.topone import latest_per_parent
 
-FLAT_OBS_COLUMNS = [
-    "obs_id", "person_id", "concept_id", "concept_name", "concept_uuid", "obs_group_id",
-    "accession_number", "form_namespace_and_path", "value_coded", "value_coded_name",
-    "value_coded_uuid", "value_coded_name_id", "value_drug", "value_datetime", "value_numeric",
-    "value_modifier", "value_text", "value_complex", "comments", "creator", "date_created",
-    "obs_voided", "obs_void_reason", "previous_version", "encounter_id", "encounter_voided",
-    "encounter_type_name", "encounter_type_description", "encounter_type_uuid",
-    "encounter_type_retired", "visit_id", "visit_date_started", "visit_date_stopped",
-    "visit_type_name", "visit_type_uuid", "visit_type_retired", "location_id", "location_name",
-    "location_address1", "location_address2", "location_city_village", "location_state_province",
-    "location_postal_code", "location_country", "location_retired", "location_uuid",
-]
+#: Ids and dates behind a flat row that the flat table itself does not show; a store keeps them (``source_ids``).
+SOURCE_IDS = ("x_location_id", "x_encounter_type", "x_visit_type", "x_encounter_date")
 
 
 def _live(df: DataFrame, flag_col: str) -> DataFrame:
@@ -45,8 +35,11 @@ def preferred_names(concept_name: DataFrame, prefix: str, locale: str = "en") ->
 
 
 def flatten_observations(t: dict[str, DataFrame], obs_filter: Column | None = None,
-                         void_filter: bool = True) -> DataFrame:
-    """``flattened_observations``: one row per live obs of a live encounter (x name fan-out)."""
+                         void_filter: bool = True, source_ids: bool = False) -> DataFrame:
+    """``flattened_observations``: one row per live obs of a live encounter (x name fan-out).
+
+    ``source_ids`` adds the ids the dictionary joins went by and the encounter's date (``SOURCE_IDS``).
+    """
     obs = t["obs"]
     if obs_filter is not None:
         obs = obs.where(obs_filter)
@@ -54,7 +47,8 @@ def flatten_observations(t: dict[str, DataFrame], obs_filter: Column | None = No
         obs = _live(obs, "voided")
     enc = _live(t["encounter"], "voided").select(
         F.col("encounter_id").alias("e_encounter_id"), F.col("visit_id").alias("e_visit_id"),
-        F.col("encounter_type").alias("e_type"), F.col("voided").alias("encounter_voided"))
+        F.col("encounter_type").alias("e_type"), F.col("voided").alias("encounter_voided"),
+        *([F.coalesce("encounter_datetime", "date_created").alias("e_date")] if source_ids else []))
     visit = t["visit"].select(
         F.col("visit_id"), F.col("visit_type_id").alias("v_visit_type_id"),
         F.col("date_started").alias("visit_date_started"),
@@ -85,6 +79,7 @@ def flatten_observations(t: dict[str, DataFrame], obs_filter: Column | None = No
     flat = flat.join(loc, flat.location_id == loc.l_id, "left")  # obs-level location (J6)
     flat = flat.join(vn, flat.value_coded == vn.vn_concept_id, "left")
     flat = flat.join(qn, flat.concept_id == qn.qn_concept_id, "left")
+    behind = [obs.location_id, F.col("e_type"), F.col("v_visit_type_id"), F.col("e_date")] if source_ids else []
     return flat.select(
         "obs_id", "person_id", "concept_id",
         F.col("qn_name").alias("concept_name"), F.col("qn_uuid").alias("concept_uuid"),
@@ -100,7 +95,7 @@ def flatten_observations(t: dict[str, DataFrame], obs_filter: Column | None = No
         F.col("v_location_id").alias("location_id"),  # visit's location, as in the source SQL
         "location_name", "location_address1", "location_address2", "location_city_village",
         "location_state_province", "location_postal_code", "location_country",
-        "location_retired", "location_uuid")
+        "location_retired", "location_uuid", *[c.alias(n) for c, n in zip(behind, SOURCE_IDS)])
 
 
 def _as_of_date(as_of) -> Column:

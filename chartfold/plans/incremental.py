@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..catalog import spec as table_spec
-from ..operators.joins import bounded_broadcasts
+from ..operators.joins import DEFAULT_BROADCAST_ROWS, bounded_broadcasts
 from ..operators.upsert import change_cursor, change_order, changed_between, delete_insert, latest_per_key, upsert_by_key
 from ..sources.derived import with_tables
 from .flatten import flatten_observations
@@ -117,12 +117,18 @@ def restrict_to_obs(raw: dict[str, DataFrame], ids: DataFrame):
     id sets are broadcast behind a bounded count) instead of shuffling the
     whole encounter and visit tables.
     """
-    obs = raw["obs"].join(ids.select("obs_id"), "obs_id", "left_semi")
-    enc_ids, = bounded_broadcasts([obs.select("encounter_id").distinct()])
-    enc = raw["encounter"].join(enc_ids, "encounter_id", "left_semi")
-    visit_ids, = bounded_broadcasts([enc.select("visit_id").distinct()])
-    visit = raw["visit"].join(visit_ids, "visit_id", "left_semi")
-    return with_tables(raw, obs=obs, encounter=enc, visit=visit)
+    return restrict_to_encounters(with_tables(raw, obs=raw["obs"].join(ids.select("obs_id"), "obs_id", "left_semi")))
+
+
+def restrict_to_encounters(raw, at_most: int | None = None):
+    """Encounters and visits cut down to those of the obs in ``raw``; ``at_most``: a known number of these obs, which bounds both id sets."""
+    def sized(ids):
+        if at_most is None:
+            return bounded_broadcasts([ids])[0]
+        return F.broadcast(ids) if at_most <= DEFAULT_BROADCAST_ROWS else ids
+    enc = raw["encounter"].join(sized(raw["obs"].select("encounter_id").distinct()), "encounter_id", "left_semi")
+    visit_ids = sized(enc.select("visit_id").distinct())
+    return with_tables(raw, encounter=enc, visit=raw["visit"].join(visit_ids, "visit_id", "left_semi"))
 
 
 # -- wide table ---------------------------------------------------------------

@@ -128,22 +128,8 @@ def discover(flat: DataFrame, spec: PivotSpec = PivotSpec()) -> DataFrame:
                     spec.name_fn(F.col("answer")).alias("answer_safe"))
 
 
-def discover_counts(flat: DataFrame, spec: PivotSpec = PivotSpec(), by=()) -> DataFrame:
-    """Like ``discover`` with a row count per (concept, family, answer): lets a store keep
-    the catalog up to date from the rows it rewrites (counts add up; a column exists while
-    its count is positive)."""
-    df = flat.where(F.col(spec.concept).isNotNull())
-    if spec.concept_filter is not None:
-        df = df.where(spec.concept_filter)
-    fam = spec.classify()
-    d = df.groupBy(*by, F.col(spec.concept).alias("concept"), fam.alias("family"),
-                   F.when(fam == "coded", F.col(spec.answer)).alias("answer")).agg(F.count(F.lit(1)).alias("n"))
-    return d.select(*by, "concept", "family", "answer", spec.name_fn(F.col("concept")).alias("concept_safe"),
-                    spec.name_fn(F.col("answer")).alias("answer_safe"), "n")
-
-
-def catalog_rows(rows, spec: PivotSpec = PivotSpec()) -> list[CatalogEntry]:
-    """Column catalog from the collected distinct rows: sorted, names de-duplicated (H7)."""
+def named_idents(rows, spec: PivotSpec = PivotSpec()) -> list[tuple]:
+    """Sorted (concept, family rank, answer or "", family, answer, name before de-duplication) of the discovered columns."""
     coded = {r.concept for r in rows if r.family == "coded"}
     out = []
     for r in rows:
@@ -158,9 +144,17 @@ def catalog_rows(rows, spec: PivotSpec = PivotSpec()) -> list[CatalogEntry]:
         else:
             continue
         out.append((r.concept, FAMILY_RANK[r.family], r.answer or "", r.family, r.answer, raw))
-    out = sorted(set(out))
-    taken = set(spec.keys) | ({"date_created"} if spec.created else set())
-    names = dedupe_names([o[5] for o in out], taken=taken)
+    return sorted(set(out))
+
+
+def reserved_names(spec: PivotSpec) -> set[str]:
+    return set(spec.keys) | ({"date_created"} if spec.created else set())
+
+
+def catalog_rows(rows, spec: PivotSpec = PivotSpec()) -> list[CatalogEntry]:
+    """Column catalog from the collected distinct rows: sorted, names de-duplicated (H7)."""
+    out = named_idents(rows, spec)
+    names = dedupe_names([o[5] for o in out], taken=reserved_names(spec))
     return [CatalogEntry(i, n, o[0], o[3], o[4]) for i, (n, o) in enumerate(zip(names, out))]
 
 

@@ -32,3 +32,32 @@ def test_widen_reuses_the_flatten_partitioning(spark, small_dir):
     n_flat = len(re.findall(r"Exchange hashpartitioning", _plan(flat)))
     n_both = len(re.findall(r"Exchange hashpartitioning", _plan(widen(flat, catalog=cat, strategy="conditional"))))
     assert n_both == n_flat            # the group-by needs no exchange of its own
+
+
+def test_broadcast_decision_follows_a_folder_that_grows(spark):
+    from chartfold.session import scratch_path
+    path = scratch_path(spark, "test-grows")
+    spark.range(5).withColumnRenamed("id", "k").write.parquet(path)
+    fact = spark.range(5000).select((F.col("id") % 1000).alias("k"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        before, = bounded_broadcasts([spark.read.parquet(path)], max_rows=100)
+        assert "BroadcastHashJoin" in _plan(fact.join(before, "k"))
+        spark.range(5, 1005).withColumnRenamed("id", "k").write.mode("append").parquet(path)
+        after, = bounded_broadcasts([spark.read.parquet(path)], max_rows=100)
+        assert "BroadcastHashJoin" not in _plan(fact.join(after, "k"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_broadcast_is_bounded_in_bytes(spark):
+    wide = spark.range(50).select(F.col("id").alias("k"), F.repeat(F.lit("x"), 10_000).alias("v"))
+    fact = spark.range(5000).select((F.col("id") % 50).alias("k"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept, = bounded_broadcasts([wide], max_rows=100, max_bytes=100_000)
+        assert "BroadcastHashJoin" not in _plan(fact.join(kept, "k"))
+        sent, = bounded_broadcasts([wide], max_rows=100, max_bytes=10_000_000)
+        assert "BroadcastHashJoin" in _plan(fact.join(sent, "k"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
