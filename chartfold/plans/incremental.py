@@ -24,7 +24,7 @@ from ..catalog import spec as table_spec
 from ..operators.joins import DEFAULT_BROADCAST_ROWS, bounded_broadcasts
 from ..operators.upsert import change_cursor, change_order, changed_between, delete_insert, latest_per_key, upsert_by_key
 from ..sources.derived import with_tables
-from .flatten import flatten_observations
+from .flatten import flatten_appointments, flatten_observations
 from .pivot import CatalogEntry, PivotSpec, build_catalog, catalog_frame, widen
 
 WIDE_MERGE_KEYS = ("person_id", "encounter_id")
@@ -84,6 +84,19 @@ def refresh_flat_window(flat_old: DataFrame | None, raw: dict[str, DataFrame],
     return delete_insert(flat_old, fresh, deleted, "obs_id")
 
 
+def refresh_appointments(flat_old: DataFrame, raw, start=None, end=None, as_of=None) -> DataFrame:
+    """DELETE + INSERT of appointments with any audit date in the closed range [start, end].
+
+    Without an end the range is open; without both it starts at the flat table's mark (H4).  An appointment made inside
+    the range and changed after it is in the range by its date of creation.
+    """
+    if start is None and end is None:
+        start = high_water_mark(flat_old, F.greatest("date_changed", "date_created"))
+    changed = changed_rows(raw["patient_appointment"], start, end)
+    fresh = flatten_appointments(with_tables(raw, patient_appointment=changed), as_of=as_of)
+    return delete_insert(flat_old, fresh, changed.select("patient_appointment_id"), "patient_appointment_id")
+
+
 def changed_obs_ids(raw: dict[str, DataFrame], since) -> DataFrame:
     """Obs whose flat rows may differ since ``since``: own changes or a changed parent.
 

@@ -250,9 +250,15 @@ def _q(name: str) -> str:
 
 def widen(flat: DataFrame, spec: PivotSpec = PivotSpec(), strategy: str = "auto",
           catalog: list[CatalogEntry] | None = None) -> DataFrame:
-    """The wide table; columns discovered from ``flat`` unless a catalog is given."""
+    """The wide table; columns discovered from ``flat`` unless a catalog is given.
+
+    Where no row has a concept, discovery finds nothing and nothing is emitted: no rows, rule (e).
+    """
     if catalog is None:
-        catalog = build_catalog(flat, spec)
+        found = discover(flat, spec).collect()
+        if not found:
+            flat = flat.where(F.lit(False))
+        catalog = catalog_rows(found, spec)
     if strategy == "auto":
         strategy = "long" if len(catalog) > WIDE_THRESHOLD else "conditional"
     if strategy == "conditional":

@@ -14,12 +14,13 @@ from pyspark.sql import functions as F
 
 from .functions.classify import value_type
 from .plans.flatten import flatten_appointments, flatten_observations, flatten_patient_program, latest_states
-from .operators.upsert import change_order, delete_insert, upsert_by_key
+from .operators.upsert import change_order, upsert_by_key
 from .plans import incremental as incr
 from .plans.pivot import ENCOUNTER_KEYS, PivotSpec, build_catalog, catalog_frame, coded_answers, concept_types, widen
 from .plans import analytics as an
 from .session import scratch_path
 from .sources.derived import ClinicalSource, with_tables
+from .sources.raw import load_raw
 from .sources.storage import VersionedTable
 
 AS_OF = _dt.date(2024, 1, 1)
@@ -163,6 +164,14 @@ def q_cursor_scan(spark, sf_dir):
     return incr.changed_rows(source(spark, sf_dir).table("obs"), INCR_T1)
 
 
+def q_cursor_scan_business_time(spark, sf_dir):
+    """The loader's own cursors, obs and encounters by the time they happened."""
+    raw = load_raw(source(spark, sf_dir).table, ("obs", "encounter"), since=INCR_T1, business_time=True)
+    parts = [raw[t].select(F.lit(t).alias("table_name"), F.col(key).cast("string").alias("id"), F.col(at).alias("happened"))
+             for t, key, at in (("obs", "obs_id", "obs_datetime"), ("encounter", "encounter_id", "encounter_datetime"))]
+    return parts[0].unionByName(parts[1])
+
+
 def q_high_water_marks(spark, sf_dir):
     """The marks an increment starts from, one row per mark."""
     old = source(spark, sf_dir).at(INCR_T1).tables()
@@ -200,6 +209,14 @@ def q_upsert_composite(spark, sf_dir):
     return upsert_by_key(stored, ur, spec_keys("user_role"))
 
 
+def q_upsert_partial_key(spark, sf_dir):
+    """S5 as the source loader has it: user_role merged by a part of its key keeps one role a user."""
+    from .catalog import spec
+    ur = source(spark, sf_dir).table("user_role")
+    stored = ur.select("user_id", F.lit("Retired").alias("role")).distinct()
+    return upsert_by_key(stored, ur, spec("user_role").legacy_key)
+
+
 def spec_keys(name):
     from .catalog import spec
     return list(spec(name).keys)
@@ -236,13 +253,15 @@ def q_delete_insert_no_bounds(spark, sf_dir):
 
 
 def q_delete_insert_appointments(spark, sf_dir):
+    old, raw = raw_after_ingest(spark, sf_dir, INCR_T1)
+    return incr.refresh_appointments(materialize(flatten_appointments(old, as_of=AS_OF), "flat_appointments_old"), raw, as_of=AS_OF)
+
+
+def q_delete_insert_appointments_range(spark, sf_dir):
+    """Reprocess a closed date range; rows of other dates keep their state."""
     old, raw = raw_after_ingest(spark, sf_dir, INCR_T1)
     flat_old = materialize(flatten_appointments(old, as_of=AS_OF), "flat_appointments_old")
-    start = incr.high_water_mark(flat_old, F.greatest("date_changed", "date_created"))   # H4
-    changed = incr.changed_rows(raw["patient_appointment"], start).select("patient_appointment_id")
-    fresh = flatten_appointments(with_tables(raw, patient_appointment=raw["patient_appointment"].join(
-        changed, "patient_appointment_id", "left_semi")), as_of=AS_OF)
-    return delete_insert(flat_old, fresh, changed, "patient_appointment_id")
+    return incr.refresh_appointments(flat_old, raw, RANGE_START, RANGE_END, as_of=AS_OF)
 
 
 def _wide_old(flat_old):
@@ -276,9 +295,14 @@ def q_widen_touched_mode(spark, sf_dir):
 
 # -- reporting ---------------------------------------------------------------------
 
-def _flat_wide(spark, sf_dir):
-    flat = flat_obs_table(spark, sf_dir)
-    return flat, widen(flat)
+def _flat(spark, sf_dir):
+    """Flat rows as a plan: a report that needs a few columns of it reads only these."""
+    return flatten_observations(source(spark, sf_dir).tables())
+
+
+def _groups(spark, sf_dir):
+    """The rows of the wide table without its pivoted columns."""
+    return _flat(spark, sf_dir).select(*ENCOUNTER_KEYS).distinct()
 
 
 def q_obs_count_by_concept(spark, sf_dir):
@@ -291,23 +315,23 @@ def q_avg_vitals_by_visit(spark, sf_dir):
 
 
 def q_encounter_type_distribution(spark, sf_dir):
-    return an.encounter_type_distribution(_flat_wide(spark, sf_dir)[1])
+    return an.encounter_type_distribution(_groups(spark, sf_dir))
 
 
 def q_lab_results_by_location(spark, sf_dir):
-    return an.lab_results_by_location(_flat_wide(spark, sf_dir)[1])
+    return an.lab_results_by_location(_groups(spark, sf_dir))
 
 
 def q_clinical_totals(spark, sf_dir):
-    return an.clinical_totals(flat_obs_table(spark, sf_dir))
+    return an.clinical_totals(_flat(spark, sf_dir))
 
 
 def q_top_locations(spark, sf_dir):
-    return an.top_locations(flat_obs_table(spark, sf_dir))
+    return an.top_locations(_flat(spark, sf_dir))
 
 
 def q_visit_frequency(spark, sf_dir):
-    return an.visit_frequency(flat_obs_table(spark, sf_dir))
+    return an.visit_frequency(_flat(spark, sf_dir))
 
 
 def q_daily_encounter_volume(spark, sf_dir):
@@ -315,7 +339,7 @@ def q_daily_encounter_volume(spark, sf_dir):
 
 
 def q_encounter_types_by_location(spark, sf_dir):
-    return an.encounter_types_by_location(_flat_wide(spark, sf_dir)[1])
+    return an.encounter_types_by_location(_groups(spark, sf_dir))
 
 
 def q_provider_productivity(spark, sf_dir):
@@ -323,11 +347,11 @@ def q_provider_productivity(spark, sf_dir):
 
 
 def q_missing_value_rates(spark, sf_dir):
-    return an.missing_value_rates(_flat_wide(spark, sf_dir)[1])
+    return an.missing_value_rates(widen(flat_obs_table(spark, sf_dir)))
 
 
 def q_patient_vital_series(spark, sf_dir):
-    return an.patient_vital_series(flat_obs_table(spark, sf_dir))
+    return an.patient_vital_series(_flat(spark, sf_dir))
 
 
 def q_duplicate_keys(spark, sf_dir):
@@ -353,8 +377,8 @@ def q_recent_observations(spark, sf_dir):
 
 def q_scan_catalog(spark, sf_dir):
     """Scan every derived raw table of the catalog; one row count per table."""
-    src = source(spark, sf_dir)
-    parts = [src.table(n).agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(n).alias("table_name"), "n_rows")
+    raw = load_raw(source(spark, sf_dir).table, SCANNED_TABLES)
+    parts = [raw[n].agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(n).alias("table_name"), "n_rows")
              for n in SCANNED_TABLES]
     out = parts[0]
     for p in parts[1:]:
@@ -380,6 +404,66 @@ def q_replace_and_read(spark, sf_dir):
                    F.countDistinct("encounter_id").alias("n_encounters"))
 
 
+READ_ROWS = 100
+
+
+def q_limit_read(spark, sf_dir):
+    """The first rows of the stored wide table, as a report reads them; the limit is the feature."""
+    table = VersionedTable(spark, "widened_observations", root=scratch_path(spark, "tables"))
+    table.write(widen(flat_obs_table(spark, sf_dir)))
+    return table.read().orderBy(*ENCOUNTER_KEYS).limit(READ_ROWS)
+
+
+class DriverLost(RuntimeError):
+    pass
+
+
+def q_increment_after_crash(spark, sf_dir):
+    """A run that dies before its commit leaves nothing behind; the next one passes its own, later
+    mark and still takes the dead run's rows from the stored one."""
+    from .plans.refresh import WideStore
+    root = scratch_path(spark, "tables")
+    src = source(spark, sf_dir)
+    WideStore(spark, root=root).build_full(src.at(UPSERT_T).tables())
+    dying = WideStore(spark, root=root)
+
+    def lost(commit, after):
+        raise DriverLost
+    dying._publish = lost
+    try:
+        dying.increment(src.at(INCR_T1).tables())
+    except DriverLost:
+        pass
+    store = WideStore(spark, root=root)
+    store.increment(src.tables(), since=INCR_T1)
+    return store.wide()
+
+
+EDITED_LOCATION, EDITED_TYPE, EDITED_CONCEPT = 3, 2, 1012
+
+
+def q_increment_dictionary_edit(spark, sf_dir):
+    """Renamed dictionary rows, without any audit date, reach the stored rows that show them."""
+    from .plans.refresh import WideStore
+    store = WideStore(spark, root=scratch_path(spark, "tables"))
+    src = source(spark, sf_dir)
+    store.build_full(src.at(INCR_T1).tables())
+    now = src.tables()
+
+    def renamed(table, hit, name):
+        return now[table].withColumn("name", F.when(hit, F.lit(name)).otherwise(F.col("name")))
+    store.increment(with_tables(
+        now, location=renamed("location", F.col("location_id") == EDITED_LOCATION, "Moved clinic"),
+        encounter_type=renamed("encounter_type", F.col("encounter_type_id") == EDITED_TYPE, "Laboratory"),
+        concept_name=renamed("concept_name", (F.col("concept_id") == EDITED_CONCEPT) & (F.col("locale") == "en"), "Body mass (kg)")))
+    return store.wide()
+
+
+def q_widen_custom_aggregates(spark, sf_dir):
+    """Another aggregate for one family of columns."""
+    return widen(flat_obs_table(spark, sf_dir), PivotSpec(families=("numeric",), aggregates={"numeric": F.min}))
+
+
 def q_bootstrap_or_increment(spark, sf_dir):
     """The first run finds nothing stored and builds in full; the next run increments
     (partition-local rewrite of the stored flat and wide tables)."""
@@ -447,6 +531,13 @@ def registry() -> dict:
         "delete_insert_observations": q_delete_insert_observations,
         "delete_insert_no_bounds": q_delete_insert_no_bounds,
         "delete_insert_appointments": q_delete_insert_appointments,
+        "delete_insert_appointments_range": q_delete_insert_appointments_range,
+        "upsert_partial_key": q_upsert_partial_key,
+        "cursor_scan_business_time": q_cursor_scan_business_time,
+        "limit_read": q_limit_read,
+        "increment_after_crash": q_increment_after_crash,
+        "increment_dictionary_edit": q_increment_dictionary_edit,
+        "widen_custom_aggregates": q_widen_custom_aggregates,
         "widen_window_mode": q_widen_window_mode,
         "widen_range_mode": q_widen_range_mode,
         "widen_touched_mode": q_widen_touched_mode,

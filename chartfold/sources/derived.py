@@ -39,13 +39,9 @@ def _L(v):
     return F.lit(v)
 
 
-ID_DAY0 = _dt.date(1990, 1, 1)
-
-
 def obs_id_expr(orderkey: Column, partkey: Column, shipdate: Column, linenumber: Column) -> Column:
-    """Deterministic obs id; (orderkey, ship day, partkey, linenumber) is unique in lineitem."""
-    days = F.datediff(shipdate.cast("date"), _L(ID_DAY0)).cast("long")
-    return ((orderkey * 10_000 + days) * 1_000_000 + partkey) * 10 + linenumber.cast("long")
+    """Deterministic obs id: the parts that are unique in lineitem together, as text, so no key is too large for it."""
+    return F.concat_ws("-", orderkey.cast("string"), F.date_format(shipdate, "yyyyMMdd"), partkey.cast("string"), linenumber.cast("string"))
 
 
 def visit_id_expr(custkey: str = "o_custkey", orderdate: str = "o_orderdate") -> Column:
@@ -69,7 +65,7 @@ class ClinicalSource:
     """Lazily built clinical tables over one scale-factor folder."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, n_concepts: int = 25,
-                 as_of: _dt.datetime | None = None):
+                 as_of: _dt.datetime | None = None, drivers: dict | None = None):
         if not 1 <= n_concepts <= MAX_CONCEPTS:
             raise ValueError("n_concepts must be in [1, 1000]")
         self.spark = spark
@@ -77,18 +73,17 @@ class ClinicalSource:
         self.n_concepts = n_concepts
         self.as_of = as_of
         self._built: dict[str, DataFrame] = {}
+        self._drivers: dict[str, DataFrame] = {} if drivers is None else drivers
 
     # -- plumbing ----------------------------------------------------------
     def driver(self, name: str) -> DataFrame:
-        # One reader per file and session: listing and footer reads happen once.
-        key = (id(self.spark), f"{self.sf_dir}/{name}.parquet")
-        df = _READERS.get(key)
-        if df is None:
-            df = _READERS[key] = self.spark.read.parquet(key[1])
-        return df
+        # one listing and footer read per source and its snapshots; a new source sees files that landed since
+        if name not in self._drivers:
+            self._drivers[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._drivers[name]
 
     def at(self, as_of: _dt.datetime | None) -> "ClinicalSource":
-        return ClinicalSource(self.spark, self.sf_dir, self.n_concepts, as_of)
+        return ClinicalSource(self.spark, self.sf_dir, self.n_concepts, as_of, self._drivers)
 
     def table(self, name: str) -> DataFrame:
         df = self._built.get(name)
@@ -305,11 +300,11 @@ class ClinicalSource:
         return out.withColumn("date_created", _L(PERSON_CREATED).cast("timestamp_ntz"))
 
     def _patient_identifier(self) -> DataFrame:
-        c = self.driver("customer").where(F.col("c_custkey") % 3 != 0)
+        c = self.driver("customer")
         return c.select(
             F.col("c_custkey").alias("patient_identifier_id"),
             F.col("c_custkey").alias("patient_id"),
-            F.concat(_L("MRN-"), F.col("c_custkey").cast("string")).alias("identifier"),
+            F.concat(F.when(F.col("c_custkey") % 3 == 0, "NID-").otherwise("MRN-"), F.col("c_custkey").cast("string")).alias("identifier"),
             _L(PERSON_CREATED).cast("timestamp_ntz").alias("date_created"))
 
     def _provider(self) -> DataFrame:
@@ -401,7 +396,7 @@ class ClinicalSource:
             (nk == 7).alias("retired"), _L(DIM_CREATED).cast("timestamp_ntz").alias("date_created"))
 
     def _patient_program(self) -> DataFrame:
-        o = self.driver("orders").where(F.col("o_orderkey") % 4 == 0)
+        o = self.driver("orders")
         key = F.col("o_orderkey")
         done = F.col("o_orderstatus") == "F"
         voided = (key % 36) == 0
@@ -421,7 +416,7 @@ class ClinicalSource:
             F.when(voided, F.col("o_orderdate") + F.expr("INTERVAL 10 DAYS")).alias("date_voided"))
 
     def _patient_state(self) -> DataFrame:
-        li = self.driver("lineitem").where(F.col("l_orderkey") % 4 == 0)
+        li = self.driver("lineitem")
         sid = obs_id_expr(F.col("l_orderkey"), F.col("l_partkey"), F.col("l_shipdate"), F.col("l_linenumber"))
         return li.select(
             sid.alias("patient_state_id"),
@@ -436,7 +431,7 @@ class ClinicalSource:
 
     # -- tables merged without a cursor (full read + key merge) --------------
     def _drug_order(self) -> DataFrame:
-        li = self.driver("lineitem").where(F.col("l_linenumber") == 1)
+        li = self.driver("lineitem")
         return li.select(
             F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("drug_inventory_id"),
             F.col("l_quantity").alias("dose"), _L("mg").alias("dose_units"),
@@ -455,9 +450,6 @@ class ClinicalSource:
         return self.driver("events")
 
 
-_READERS: dict = {}
-
-
 class LazyTables(dict):
     """dict of clinical tables that builds a table the first time it is looked up."""
 

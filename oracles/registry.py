@@ -6,7 +6,7 @@ import datetime as _dt
 from functools import lru_cache
 
 from . import sql as S
-from .views import with_views
+from .views import base_views, with_views
 
 SUBSET_PATTERN = "Weight%"
 
@@ -149,11 +149,35 @@ def incremental_queries() -> dict[str, str]:
         ("SELECT * FROM fa_old WHERE patient_appointment_id NOT IN (SELECT patient_appointment_id FROM ch)\n"
          "UNION ALL\n" + S.flat_appointments(extra="AND pa.patient_appointment_id IN "
                                               "(SELECT patient_appointment_id FROM ch)"))
+    in_range = " OR ".join(f"{c} BETWEEN {RANGE[0]} AND {RANGE[1]}" for c in ("date_created", "date_changed", "date_voided"))
+    q["delete_insert_appointments_range"] = _incremental_ctes({
+        "fa_old": S.flat_appointments("old_"),
+        "ch": f"SELECT patient_appointment_id FROM patient_appointment WHERE {in_range}"}) + \
+        ("SELECT * FROM fa_old ANTI JOIN ch USING (patient_appointment_id)\n"
+         "UNION ALL\n" + S.flat_appointments(extra="AND pa.patient_appointment_id IN (FROM ch)"))
+    q["upsert_partial_key"] = with_views("SELECT user_id, max(role) AS role FROM user_role GROUP BY user_id")
+    q["cursor_scan_business_time"] = with_views(f"""
+      SELECT 'obs' AS table_name, obs_id AS id, obs_datetime AS happened FROM obs WHERE obs_datetime >= {INCR_T1}
+      UNION ALL SELECT 'encounter', CAST(encounter_id AS VARCHAR), encounter_datetime FROM encounter WHERE encounter_datetime >= {INCR_T1}""")
     q["widen_window_mode"] = window_query()
     q["widen_range_mode"] = window_query(*RANGE)
     return q
 
 
+def dictionary_edit_query() -> str:
+    """The wide table over dictionaries with three renamed rows."""
+    base = base_views()
+
+    def renamed(table: str, hit: str, name: str) -> str:
+        return f"SELECT * REPLACE (if({hit}, '{name}', name) AS name) FROM ({base[table]})"
+    ctes = with_views("", extra={
+        "location": renamed("location", "location_id = 3", "Moved clinic"),
+        "encounter_type": renamed("encounter_type", "encounter_type_id = 2", "Laboratory"),
+        "concept_name": renamed("concept_name", "concept_id = 1012 AND locale = 'en'", "Body mass (kg)"),
+        "flat": S.flat_obs()})
+    return ctes + S.pivot_select(S.pivot_catalog(ctes), "flat", "", S.KEYS)
+
+
 GROUPS = f"SELECT DISTINCT {', '.join(S.KEYS)} FROM flat"
 SCANNED_TABLES = ("person", "person_name", "patient_identifier", "encounter", "encounter_type", "obs",
                   "visit", "visit_type", "location", "provider", "concept_name", "program",
@@ -270,6 +294,10 @@ def registry() -> dict[str, str]:
     out.update(incremental_queries())
     out["widen_touched_mode"] = out["widen_observations"]   # touched increment == full rebuild
     out["bootstrap_or_increment"] = out["widen_observations"]  # bootstrap then increment == full
+    out["increment_after_crash"] = out["widen_observations"]
+    out["increment_dictionary_edit"] = dictionary_edit_query()
+    out["limit_read"] = f"SELECT * FROM ({out['widen_observations']}) ORDER BY {', '.join(k + ' NULLS FIRST' for k in S.KEYS)} LIMIT 100"
+    out["widen_custom_aggregates"] = pivot_query(families=("numeric",)).replace("max(value_numeric)", "min(value_numeric)")
     out.update(reporting_queries())
     out["stream_available_now"] = out["widen_observations"]
     for fam, name in (("coded", "pivot_coded_onehot"), ("numeric", "pivot_numeric"), ("text", "pivot_text"),

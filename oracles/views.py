@@ -30,8 +30,7 @@ VISIT_ID = "(o_custkey * 1000 + CAST((year(o_orderdate) - 1990) * 12 + month(o_o
 
 
 def _obs_id(o, p, ship, ln):
-    days = f"date_diff('day', DATE '1990-01-01', CAST({ship} AS DATE))"
-    return f"((({o} * 10000 + {days}) * 1000000 + {p}) * 10 + CAST({ln} AS BIGINT))"
+    return f"concat_ws('-', CAST({o} AS VARCHAR), strftime({ship}, '%Y%m%d'), CAST({p} AS VARCHAR), CAST({ln} AS VARCHAR))"
 
 
 def base_views(n_concepts: int = 25) -> dict[str, str]:
@@ -156,9 +155,9 @@ def base_views(n_concepts: int = 25) -> dict[str, str]:
                CASE WHEN s_suppkey % 4 <> 0 THEN 'Provider' END, true, false FROM supplier)"""
     v["patient_identifier"] = """
       SELECT c_custkey AS patient_identifier_id, c_custkey AS patient_id,
-        concat('MRN-', CAST(c_custkey AS VARCHAR)) AS identifier,
+        concat(if(c_custkey % 3 = 0, 'NID-', 'MRN-'), CAST(c_custkey AS VARCHAR)) AS identifier,
         TIMESTAMP '2000-01-01 00:00:00' AS date_created
-      FROM customer WHERE c_custkey % 3 <> 0"""
+      FROM customer"""
     v["provider"] = """
       SELECT s_suppkey AS provider_id, 1000000000 + s_suppkey AS person_id,
         s_suppkey % 10 = 9 AS retired, TIMESTAMP '1990-01-01 00:00:00' AS date_created
@@ -234,7 +233,7 @@ def base_views(n_concepts: int = 25) -> dict[str, str]:
         o_orderkey % 36 = 0 AS voided,
         CASE WHEN o_orderkey % 36 = 0 THEN 'withdrawn' END AS void_reason,
         CASE WHEN o_orderkey % 36 = 0 THEN o_orderdate + INTERVAL 10 DAY END AS date_voided
-      FROM orders WHERE o_orderkey % 4 = 0"""
+      FROM orders"""
     v["patient_state"] = f"""
       SELECT {_obs_id('l_orderkey', 'l_partkey', 'l_shipdate', 'l_linenumber')} AS patient_state_id,
         l_orderkey AS patient_program_id, l_suppkey % 25 + 1 AS state,
@@ -242,11 +241,11 @@ def base_views(n_concepts: int = 25) -> dict[str, str]:
         CAST(NULL AS DATE) AS end_date,
         concat('ps-', CAST({_obs_id('l_orderkey', 'l_partkey', 'l_shipdate', 'l_linenumber')} AS VARCHAR)) AS uuid,
         l_shipdate AS date_created, l_linenumber = 5 AS voided
-      FROM lineitem WHERE l_orderkey % 4 = 0"""
+      FROM lineitem"""
     v["drug_order"] = """
       SELECT l_orderkey AS order_id, l_partkey AS drug_inventory_id, l_quantity AS dose,
         'mg' AS dose_units, concat(l_linestatus, '-daily') AS frequency, l_shipdate AS date_activated
-      FROM lineitem WHERE l_linenumber = 1"""
+      FROM lineitem"""
     v["user_role"] = """
       SELECT s_suppkey AS user_id,
         CASE s_suppkey % 3 WHEN 0 THEN 'Clinician' WHEN 1 THEN 'Nurse' ELSE 'Clerk' END AS role FROM supplier

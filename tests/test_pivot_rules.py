@@ -140,10 +140,13 @@ def test_concept_filter_keeps_all_groups(spark, readme_example):
     assert w.count() == 2
 
 
-def test_no_concepts_gives_groups_only(spark):
+def test_no_concepts_emit_nothing(spark):
     df = flat_df(spark, [obs(1, 1, None, num=1.0)])
     w = widen(df)
-    assert w.count() == 1 and "date_created" in w.columns
+    assert w.count() == 0 and "date_created" in w.columns
+    # a concept without a column still makes its groups
+    other = widen(flat_df(spark, [obs(1, 1, "Picture", complex_="blob"), obs(2, 2, None, num=1.0)]))
+    assert other.count() == 2 and set(other.columns) == {*PivotSpec().keys, "date_created"}
 
 
 def test_type_map_remaps_families(spark):
