@@ -19,7 +19,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def durable(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the shared folder: survives lost executors, cleaned with the frame."""
+    """Reliable checkpoint in the shared folder: survives lost executors; removed with the frame only where spark.cleaner.referenceTracking.cleanCheckpoints is on."""
     storage_root(df.sparkSession)
     return df.checkpoint(eager=True)
 
