@@ -50,7 +50,7 @@ def token_files(spark, docs, sf_dir):
 
 STAGES = [("toxicity", toxicity), ("ngram_join", ngram_join), ("decontaminate", decontaminate), ("mixing", mixing), ("token_files", token_files)]
 
-#: Learned models and token ids are beyond SQL; tests/llm/test_pipeline.py holds the stages against brute force.
+#: Learned models and token ids are beyond SQL; tests/llm/test_pipeline.py checks that each stage keeps a part of its input and repeats itself, not yet brute force.
 ORACLE_SQL = None
 
 
