@@ -19,6 +19,7 @@ from .plans import incremental as incr
 from .plans.pivot import ENCOUNTER_KEYS, PivotSpec, build_catalog, catalog_frame, coded_answers, concept_types, widen
 from .plans import analytics as an
 from .session import scratch_path
+from .sources.changes import ChangeTable, LatestRow
 from .sources.derived import ClinicalSource, with_tables
 from .sources.raw import load_raw
 from .sources.storage import VersionedTable
@@ -293,6 +294,20 @@ def q_widen_touched_mode(spark, sf_dir):
     return wide
 
 
+def q_widen_delta(spark, sf_dir):
+    """A10, H5: the wide table from counted cells after inserts, edits and voids; only touched groups are folded again."""
+    from .plans.cells import CellStore, refresh_wide_cells
+    _, raw, flat_old = _flat_pair(spark, sf_dir, INCR_T1)
+    store = CellStore(spark, scratch_path(spark, "tables"))
+    store.build(flat_old)
+    wide_old, cat_old = materialize(store.wide(), "wide_old"), store.catalog()
+    ids = materialize(incr.changed_obs_ids(raw, INCR_T1), "changed_obs_ids")
+    after = materialize(flatten_observations(incr.restrict_to_obs(raw, ids)), "flat_changed")
+    delta = store.apply(flat_old.join(ids, "obs_id", "left_semi"), after)
+    wide, _ = refresh_wide_cells(wide_old, cat_old, store, delta)
+    return wide
+
+
 # -- reporting ---------------------------------------------------------------------
 
 def _flat(spark, sf_dir):
@@ -475,6 +490,20 @@ def q_bootstrap_or_increment(spark, sf_dir):
     return store.wide()
 
 
+def q_stream_change_files(spark, sf_dir):
+    """The raw obs table after a stream that wrote its micro-batches as change files, merged as it is read."""
+    from .streaming.ingest import ingest_available
+    old, now = _old_and_now(spark, sf_dir, UPSERT_T)
+    root = scratch_path(spark, "stream")
+    obs = ChangeTable(spark, "obs", LatestRow(("obs_id",)), root=root + "/tables")
+    obs.write(old["obs"])
+    changed = incr.changed_rows(now["obs"], UPSERT_T)
+    # files as an extraction leaves them, several in a micro-batch
+    changed.repartition(8, "obs_id").write.parquet(root + "/landing/obs")
+    ingest_available(spark, "obs", root + "/landing/obs", obs, schema=changed.schema, checkpoint=root + "/checkpoint", files_per_batch=3)
+    return obs.read()
+
+
 def q_stream_available_now(spark, sf_dir):
     """Changed obs land as files; an availableNow stream key-merges each micro-batch
     into the raw obs table, then re-pivots the touched months of the stored wide table."""
@@ -483,7 +512,7 @@ def q_stream_available_now(spark, sf_dir):
     src = source(spark, sf_dir)
     root = scratch_path(spark, "stream")
     old = src.at(INCR_T1).tables()
-    raw_obs = VersionedTable(spark, "obs", root=root + "/tables")
+    raw_obs = ChangeTable(spark, "obs", LatestRow(("obs_id",)), root=root + "/tables")
     raw_obs.write(old["obs"])
     store = WideStore(spark, root=root + "/tables")
     store.build_full(old)
@@ -541,6 +570,7 @@ def registry() -> dict:
         "widen_window_mode": q_widen_window_mode,
         "widen_range_mode": q_widen_range_mode,
         "widen_touched_mode": q_widen_touched_mode,
+        "widen_delta": q_widen_delta,
         "obs_count_by_concept": q_obs_count_by_concept,
         "avg_vitals_by_visit": q_avg_vitals_by_visit,
         "encounter_type_distribution": q_encounter_type_distribution,
@@ -561,4 +591,5 @@ def registry() -> dict:
         "replace_and_read": q_replace_and_read,
         "bootstrap_or_increment": q_bootstrap_or_increment,
         "stream_available_now": q_stream_available_now,
+        "stream_change_files": q_stream_change_files,
     }

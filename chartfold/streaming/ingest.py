@@ -2,7 +2,9 @@
 
 ``readStream`` over a landing folder, ``trigger(availableNow=True)`` so each
 scheduled run drains what has landed and stops; ``foreachBatch`` key-merges
-every micro-batch into the versioned raw table.  The streaming checkpoint
+every micro-batch into the stored raw table.  Into a ``ChangeTable`` it writes the
+batch's rows only, and compaction bounds what a reader merges; a ``VersionedTable`` is
+written whole per batch and is for small tables.  The streaming checkpoint
 replaces the loader's cursor state, and the merge is idempotent, so a batch
 replayed after a failure leaves the same table.
 """
@@ -16,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..catalog import spec as table_spec
 from ..operators.upsert import change_order, upsert_by_key
 from ..session import storage_root
+from ..sources.changes import ChangeTable
 from ..sources.storage import VersionedTable
 
 
@@ -33,7 +36,19 @@ def merge_batch_into(table: VersionedTable, keys, order_by=None,
     return handle
 
 
-def ingest_available(spark: SparkSession, name: str, landing: str, table: VersionedTable,
+def append_batch_to(table: ChangeTable, after: Callable[[DataFrame, int], None] | None = None):
+    """foreachBatch handler: the batch becomes a change file of the table."""
+    def handle(batch: DataFrame, epoch_id: int) -> None:
+        if batch.isEmpty():
+            return
+        table.append(batch)
+        table.compact()
+        if after is not None:
+            after(batch, epoch_id)
+    return handle
+
+
+def ingest_available(spark: SparkSession, name: str, landing: str, table: VersionedTable | ChangeTable,
                      schema, checkpoint: str | None = None, files_per_batch: int | None = None,
                      after=None) -> None:
     """Drain the landing folder of table ``name`` into ``table`` and stop."""
@@ -43,6 +58,7 @@ def ingest_available(spark: SparkSession, name: str, landing: str, table: Versio
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     stream = reader.parquet(landing)
     ckpt = checkpoint or f"{storage_root(spark)}/chartfold/stream-checkpoints/{name}"
-    q = (stream.writeStream.foreachBatch(merge_batch_into(table, keys, after=after))
+    handle = append_batch_to(table, after) if isinstance(table, ChangeTable) else merge_batch_into(table, keys, after=after)
+    q = (stream.writeStream.foreachBatch(handle)
          .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
     q.awaitTermination()

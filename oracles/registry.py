@@ -293,6 +293,8 @@ def registry() -> dict[str, str]:
     out["widen_long_plan"] = out["widen_observations"]
     out.update(incremental_queries())
     out["widen_touched_mode"] = out["widen_observations"]   # touched increment == full rebuild
+    out["widen_delta"] = out["widen_observations"]          # counted cells after voids and edits == full rebuild
+    out["stream_change_files"] = out["upsert_raw"]          # change files merged when read == one key-merge
     out["bootstrap_or_increment"] = out["widen_observations"]  # bootstrap then increment == full
     out["increment_after_crash"] = out["widen_observations"]
     out["increment_dictionary_edit"] = dictionary_edit_query()
