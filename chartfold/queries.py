@@ -408,6 +408,62 @@ SCANNED_TABLES = ("person", "person_name", "patient_identifier", "encounter", "e
                   "appointment_service_type")
 
 
+# The landed tables hold what a text export of the source may hold: everything as text, and some values that are none.
+TEXT_KEYS = {"obs": {"obs_id": "string"}, "patient_state": {"patient_state_id": "string"}}
+
+
+def landed_as_text(src: ClinicalSource, name: str) -> DataFrame:
+    """A raw table as a text export: decimal commas, zero dates, odd flags, an unreadable reference and missing keys here and there."""
+    df = src.table(name).select(*[F.col(c).cast("string").alias(c) for c in src.table(name).columns])
+    faults = {
+        "obs": [("value_numeric", F.col("value_numeric").cast("double") == 50, "50,0")],
+        "encounter": [("encounter_datetime", F.col("encounter_id").cast("long") % 97 == 0, "0000-00-00 00:00:00"),
+                      ("location_id", F.col("encounter_id").cast("long") % 194 == 0, "ward 3")],
+        "person": [("dead", F.col("person_id").cast("long") % 89 == 0, "2")],
+        "patient_identifier": [("patient_identifier_id", F.col("patient_id").cast("long") % 101 == 0, None)],
+    }
+    return df.select(*[_broken(c, faults.get(name, ())) for c in df.columns])
+
+
+def _broken(column: str, faults):
+    for name, where, value in faults:
+        if name == column:
+            return F.when(where, F.lit(value)).otherwise(F.col(column)).alias(column)
+    return F.col(column)
+
+
+def q_quarantine_counts(spark, sf_dir):
+    """Every derived raw table, landed as text, under the schema contract: accepted rows and rows per reason."""
+    from .catalog import spec
+    from .sources.contract import REASONS, checked
+    src = source(spark, sf_dir)
+    out = None
+    for name in SCANNED_TABLES:
+        rows = checked(landed_as_text(src, name), spec(name), TEXT_KEYS.get(name))
+        why = F.when(F.size(REASONS) == 0, F.array(F.lit("accepted"))).otherwise(F.col(REASONS))
+        one = (rows.select(F.lit(name).alias("table_name"), F.explode(why).alias("reason"))
+               .groupBy("table_name", "reason").agg(F.count(F.lit(1)).alias("n_rows")))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def q_load_typed(spark, sf_dir):
+    """Landed text files read back under the contract, the changed rows of obs typed; what does not fit is in the quarantine."""
+    from .sources.contract import load_typed, quarantine_into
+    from .sources.raw import parquet_reader
+    src, root = source(spark, sf_dir), scratch_path(spark, "landed")
+    for name in ("obs", "encounter"):
+        landed_as_text(src, name).write.parquet(f"{root}/{name}")
+    held = ChangeTable(spark, "quarantine", LatestRow(("table_name", "row_digest")), root=scratch_path(spark, "tables"))
+    read = dict(reader=parquet_reader(spark, root), names=("obs", "encounter"), types=TEXT_KEYS, on_reject=quarantine_into(held))
+    load_typed(**read)
+    raw = load_typed(**read, since=UPSERT_T)              # a second run finds the same broken rows and keeps each once
+    good = raw["obs"].select(F.lit("accepted").alias("state"), F.lit("obs").alias("table_name"), F.col("obs_id").alias("id"), "value_numeric", "date_created", "voided")
+    bad = held.read().select(F.lit("quarantined").alias("state"), "table_name",
+                             F.coalesce(F.get_json_object("row_key", "$.obs_id"), F.get_json_object("row_key", "$.encounter_id")).alias("id"))
+    return good.unionByName(bad, allowMissingColumns=True)
+
+
 def q_replace_and_read(spark, sf_dir):
     """Full replace twice (new version each time), read the current version back."""
     table = VersionedTable(spark, "widened_observations", root=scratch_path(spark, "tables"))
@@ -588,6 +644,8 @@ def registry() -> dict:
         "recent_encounters": q_recent_encounters,
         "recent_observations": q_recent_observations,
         "scan_catalog": q_scan_catalog,
+        "quarantine_counts": q_quarantine_counts,
+        "load_typed": q_load_typed,
         "replace_and_read": q_replace_and_read,
         "bootstrap_or_increment": q_bootstrap_or_increment,
         "stream_available_now": q_stream_available_now,

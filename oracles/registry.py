@@ -264,12 +264,32 @@ def reporting_queries() -> dict[str, str]:
         ORDER BY obs_datetime DESC, obs_id DESC, concept_name NULLS FIRST, coded_value NULLS FIRST) <= 20""")
     q["scan_catalog"] = with_views("\nUNION ALL ".join(
         f"SELECT '{t}' AS table_name, count(*) AS n_rows FROM {t}" for t in SCANNED_TABLES))
+    q["quarantine_counts"] = quarantine_query()
+    q["load_typed"] = with_views(f"""
+      SELECT 'accepted' AS state, 'obs' AS table_name, obs_id AS id, value_numeric, date_created, voided FROM obs
+      WHERE value_numeric IS DISTINCT FROM 50 AND (date_created >= {UPSERT_T} OR date_voided >= {UPSERT_T})
+      UNION ALL SELECT 'quarantined', 'obs', obs_id, NULL, NULL, NULL FROM obs WHERE value_numeric = 50
+      UNION ALL SELECT 'quarantined', 'encounter', CAST(encounter_id AS VARCHAR), NULL, NULL, NULL FROM encounter WHERE encounter_id % 97 = 0""")
     q["replace_and_read"] = f + f"""
       SELECT 2 AS version, count(*) AS n_rows, count(DISTINCT encounter_id) AS n_encounters FROM ({GROUPS})"""
     # the stream ends with the stored wide table of the current data: the full rebuild
     return q
 
 
+def quarantine_query() -> str:
+    """Accepted rows of every table and rows per fault of the landed text."""
+    faults = {"obs": [("value_numeric: not double", "value_numeric = 50")],
+              "encounter": [("encounter_datetime: not timestamp_ntz", "encounter_id % 97 = 0"), ("location_id: not bigint", "encounter_id % 194 = 0")],
+              "person": [("dead: not boolean", "person_id % 89 = 0")],
+              "patient_identifier": [("patient_identifier_id: key is null", "patient_id % 101 = 0")]}
+    parts = []
+    for t in SCANNED_TABLES:
+        fit = " AND ".join(f"({c}) IS NOT TRUE" for _, c in faults.get(t, ())) or "true"
+        for reason, cond in [("accepted", fit), *faults.get(t, ())]:
+            parts.append(f"SELECT '{t}' AS table_name, '{reason}' AS reason, count(*) AS n_rows FROM {t} WHERE {cond} HAVING count(*) > 0")
+    return with_views("\nUNION ALL ".join(parts))
+
+
 @lru_cache(maxsize=1)
 def registry() -> dict[str, str]:
     out = {
