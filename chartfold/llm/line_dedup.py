@@ -96,9 +96,9 @@ def _suspects(min_chars: int, log_bits: int, bits):
     def run(batches):
         filt = np.frombuffer(bits.value, np.uint8)
         for batch in batches:
-            ids, texts = batch.column("doc_id").to_pylist(), batch.column("text")
-            out = ([], [], [])
-            for doc, text in zip(ids, texts):
+            ids, rows, texts = batch.column("doc_id").to_pylist(), batch.column("text_key").to_pylist(), batch.column("text")
+            out = ([], [], [], [])
+            for doc, row, text in zip(ids, rows, texts):
                 keys = line_keys(text.as_py(), min_chars)
                 if not keys:
                     continue
@@ -108,8 +108,9 @@ def _suspects(min_chars: int, log_bits: int, bits):
                     out[0].append(doc)
                     out[1].append(keys[j][0])
                     out[2].append(keys[j][1])
-            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int32()), binary_array(out[2])],
-                                             names=["doc_id", "line", "key"])
+                    out[3].append(row)
+            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[3], pa.int64()), pa.array(out[1], pa.int32()), binary_array(out[2])],
+                                             names=["doc_id", "text_key", "line", "key"])
     return run
 
 
@@ -119,7 +120,7 @@ def filter_bits(n_lines: int) -> int:
 
 
 def repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
-    """(doc_id, drop: array of line numbers) of the documents that lose lines."""
+    """(doc_id, text_key, drop: array of line numbers) of the rows (doc_id, text, text_key) that lose lines."""
     spark = docs.sparkSession
     n_lines = docs.agg(F.sum(F.length("text") - F.length(F.replace("text", F.lit("\n"))) + 1)).first()[0] or 0
     log_bits = filter_bits(n_lines)
@@ -130,11 +131,11 @@ def repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     for r in parts:
         whole[r.segment * per:(r.segment + 1) * per] = np.frombuffer(r.bits, np.uint8)
     bits = spark.sparkContext.broadcast(whole.tobytes())
-    suspects = durable(docs.where("doc_id is not null").mapInArrow(_suspects(min_chars, log_bits, bits), "doc_id bigint, line int, key binary"))
+    suspects = durable(docs.where("doc_id is not null").mapInArrow(_suspects(min_chars, log_bits, bits), "doc_id bigint, text_key bigint, line int, key binary"))
     confirmed = suspects.groupBy("key").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
     confirmed = durable(confirmed)  # as a table of its own it leaves the join's shuffle free to be split at hot keys
     return (suspects.join(confirmed.select("key", "first"), "key").where("doc_id != first")
-            .groupBy("doc_id").agg(F.collect_set("line").alias("drop")))
+            .groupBy("doc_id", "text_key").agg(F.collect_set("line").alias("drop")))
 
 
 def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
@@ -142,15 +143,16 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
 
     A line's key is the line stripped of ASCII white space with A-Z lower-cased.  A key of ``min_chars`` code points
     or more that two doc_ids hold stays only in the smaller, with all its lines there.  Null and empty
-    texts are one empty line.  Rows that share a doc_id count as one holder and lose the same line numbers; a row
+    texts are one empty line.  Rows that share a doc_id count as one holder, and each loses its own lines (rows are told apart by xxhash64 of the text); a row
     without doc_id loses nothing and holds nothing back.  Other columns are ignored.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    docs = docs.withColumn("text_key", F.xxhash64("text"))
     drops = repeated_lines(docs, min_chars)
     lines = F.split("text", "\n", -1)
     keep = F.filter(F.transform(lines, lambda x, i: F.struct(x.alias("x"), i.alias("i"))),
                     lambda s: ~F.array_contains("drop", s["i"]))
     kept = F.when(F.col("drop").isNull(), F.col("text")).otherwise(F.array_join(F.transform(keep, lambda s: s["x"]), "\n"))
-    return (docs.join(drops, "doc_id", "left")
+    return (docs.join(drops, ["doc_id", "text_key"], "left")
             .select("doc_id", F.size(lines).cast("long").alias("n_lines"),
                     F.coalesce(F.size("drop"), F.lit(0)).cast("long").alias("n_dropped"), kept.alias("kept")))
