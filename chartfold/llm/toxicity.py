@@ -5,12 +5,13 @@ stems that stand for every word that begins with them).  Matching: the trie of t
 Levenshtein automata of its words are one deterministic automaton, built as it is walked; a term of five letters or more, word or
 stem, is also found with one edit, one of nine or more with two.  Every hit is weighed by its context window: quotation marks and
 reporting words around it speak for a quotation, words for "you" and exclamation marks for abuse.  A
-logistic model on the weighed hits gives the score.
+logistic model on the weighed hits gives the score.  Only a pair of marks around the hit is a quotation; apostrophes inside words are none.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections import Counter
 
 import numpy as np
@@ -31,7 +32,10 @@ WINDOW = 6
 STATES = 60_000                # automaton states, and words, remembered; both are built anew beyond
 
 WORD = re.compile(r"[^\W\d_]+")
-QUOTE_MARKS = "\"'“”„«»‘’`"
+CLOSES = {'"': '"', "'": "'", "`": "'`", "“": "”", "„": "“”", "«": "»", "»": "«", "‘": "’"}
+OPENS, ENDS = "".join(CLOSES), "\"'`“”«»’"
+# Marks that may open stand before a character and not after one, marks that may close the other way round: an apostrophe between letters does neither.
+QUOTE = re.compile(rf"(?P<line>\n)|(?<![^\s(\[{{—–-])(?P<open>[{OPENS}])(?=\S)|(?<=\S)(?P<close>[{ENDS}])(?![^\W_])")
 REPORTING = frozenset("said says say called calls quote quoted quotes word words term terms means meaning wrote writes "
                       "dit disait mot terme sagte sagt wort heißt dijo dice palabra".split())
 ADDRESS = frozenset("you your yours youre u ur tu vous toi te ton du dich dein ihr euch usted ustedes vos ti".split())
@@ -42,6 +46,21 @@ def allowance(term: str) -> int:
     return 2 if len(term) >= 9 else 1 if len(term) >= 5 else 0
 
 
+def quoted_spans(text: str) -> list[tuple[int, int]]:
+    """Stretches between a quotation mark and the mark that closes it, in one line of the text; a mark without a partner opens nothing."""
+    spans, at, ends = [], None, ""
+    for m in QUOTE.finditer(text):
+        mark = m.group()
+        if m.lastgroup == "line":
+            at = None
+        elif at is not None and m.lastgroup == "close" and mark in ends:
+            spans.append((at, m.start()))
+            at = None
+        elif m.lastgroup == "open" and at is None:
+            at, ends = m.end(), CLOSES[mark]
+    return spans
+
+
 class LexiconAutomaton:
     """Trie of the lexicon times the Levenshtein automata of its terms, determinised on demand.
 
@@ -172,15 +191,18 @@ class Scorer:
         if not hits:
             return [0.0] * self.N
         spans = [m.span() for m in WORD.finditer(low)]
+        said = quoted_spans(low)
+        said_from = [s for s, _ in said]
         abuse = quoted = fuzzy = count = 0.0
         for i, w in enumerate(words):
             if w not in hits:
                 continue
             term, edits = hits[w]
             lo, hi = max(0, i - WINDOW), min(len(words), i + WINDOW + 1)
-            left, right = low[spans[lo][0]:spans[i][0]], low[spans[i][1]:spans[hi - 1][1] + 1]
+            right = low[spans[i][1]:spans[hi - 1][1] + 1]
             near = words[lo:i] + words[i + 1:hi]
-            marks = any(q in left for q in QUOTE_MARKS) and any(q in right for q in QUOTE_MARKS)
+            k = bisect_right(said_from, spans[i][0]) - 1
+            marks = k >= 0 and spans[i][1] <= said[k][1]
             quote = 0.5 * marks + 0.3 * any(x in REPORTING for x in near)
             attack = 0.3 * any(x in ADDRESS for x in near) + 0.2 * ("!" in right)
             value = self.weights[term] * max(0.1, 1 - quote + attack)
