@@ -24,6 +24,15 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def shared_folder(spark: SparkSession, folder: str) -> str:
+    """The folder, made, with the scheme of the file system that Spark takes it to be on: tasks write to the same place as Spark reads."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(path)
+    whole = fs.makeQualified(path).toString()
+    return "file://" + whole[5:] if whole.startswith("file:/") and not whole.startswith("file://") else whole
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

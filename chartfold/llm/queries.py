@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
 from .common import table
 from .decontaminate import contamination
 from .fingerprint import fingerprint_documents
@@ -17,7 +18,7 @@ from .token_counts import count_tokens
 from .token_files import token_documents
 from .toxicity import held_out, score_texts, train
 from .url_filter import RULES, SOFT_NEEDED, SOFT_TERMS, STRICT_TERMS, filter_urls
-from .warc import build_derivatives
+from .warc import derive_records, read_warc, response_records, write_warc
 
 
 def op1_ngram_join(spark, sf_dir):
@@ -44,7 +45,9 @@ def op4_sharding(spark, sf_dir):
 
 
 def op5_warc_derivatives(spark, sf_dir):
-    d = build_derivatives(table(spark, sf_dir, "pages"))
+    folder = scratch_path(spark, "warc")
+    files = write_warc(response_records(table(spark, sf_dir, "pages")), folder)
+    d = derive_records(read_warc(spark, folder, files))
     return d.select("page_id", "kind", "record_id", "refers_to", "target_uri", "source_digest", "block_digest",
                     F.length("record").cast("long").alias("n_bytes"), F.sha2("record", 256).alias("record_sha256"))
 

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .common import binary_parts, durable, row_chunks
+from .common import binary_parts, durable, row_chunks, shared_folder
 from .ranges import deal_by_id
 
 MAGIC = b"CFTOKEN1"
@@ -152,7 +152,7 @@ def _coder(path: str) -> Encoder:
 def _write(folder: str, tokenizer: str, end_id: int):
     def run(batches):
         from pyarrow import fs
-        store, root = fs.FileSystem.from_uri(folder if "://" in folder or folder.startswith("file:") else "file://" + folder)
+        store, root = fs.FileSystem.from_uri(folder)
         coder = _coder(tokenizer)
         end = np.array([end_id], "<u4")
         doc_ids, ends, held, total, part, seq = [], [], [], 0, None, 0
@@ -195,6 +195,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int
     the text, null doc_ids come first; every row is written.  ``folder`` is a path or URI that all executors
     reach.  ``tokenizer`` is the path of a byte-level vocabulary file on every machine.
     """
+    folder = shared_folder(docs.sparkSession, folder)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     dealt, parts = deal_by_id(rows, weight=F.octet_length("text"), most=CHARS_A_RANGE)
     dealt = dealt.withColumn("tie", F.xxhash64("text")).repartitionById(parts, "part").sortWithinPartitions("part", "doc_id", "tie")
@@ -234,6 +235,4 @@ def token_documents(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> Da
     """Write the documents as token files in the shared folder and return what the files hold, one row per document."""
     spark = docs.sparkSession
     folder = scratch_path(spark, "token_files")
-    made = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    made.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(made)
     return read_token_files(spark, folder, write_token_files(docs, folder, tokenizer, end_id))

@@ -301,3 +301,58 @@ def test_empty_tables(spark, tmp_path, name):
                           ("labels", "doc_id long, quality int, toxic int")):
         spark.createDataFrame([], schema).write.parquet(f"{folder}/{table}.parquet")
     assert queries.registry()[name](spark, folder).collect() == []
+
+
+def test_warc_query_reads_what_it_wrote(spark, tmp_path):
+    pages = spark.createDataFrame([(i, f"http://a/{i}", f"<p>page {i}<a href=x{i}>y</a>") for i in range(40)] + [(None, None, None), (3, "", "")],
+                                  "page_id long, url string, html string")
+    folder = str(tmp_path / "responses")
+    stored = warc.read_warc(spark, folder, warc.write_warc(warc.response_records(pages), folder))
+    got = sorted(map(str, warc.derive_records(stored).collect()))
+    assert got == sorted(map(str, warc.build_derivatives(pages).collect())) and len(got) == 84
+    assert warc.derive_records(warc.response_records(pages.limit(0))).count() == 0
+
+
+def test_warc_keeps_every_header_of_a_response():
+    head = [("WARC-Type", "response"), ("WARC-Record-ID", "<urn:uuid:1>"), ("WARC-Target-URI", "http://a/"), ("WARC-Date", warc.DATE)]
+    raw = warc.serialize(head, b"HTTP/1.1 404 Not Found\r\nX-Empty:\r\nX-Tight:v:1\r\nX-Folded: a\r\n  b\r\nSet-Cookie: 1\r\nSet-Cookie: 2\r\n\r\n<p>gone")
+    raw = raw.replace(b"WARC-Date: ", b"WARC-Date:").replace(b"WARC/1.1\r\n", b"WARC/1.1\r\nX-None:\r\n")
+    fields, block = warc.parse(raw)
+    assert fields["X-None"] == "" and fields["WARC-Date"] == warc.DATE
+    meta = warc.parse(warc.derive(fields, block)[0][3])[1].decode().split("\r\n")
+    assert meta[:8] == ["source-X-Empty: ", "source-X-Tight: v:1", "source-X-Folded: a b", "source-Set-Cookie: 1", "source-Set-Cookie: 2",
+                        "source-status: HTTP/1.1 404 Not Found", "source-payload-digest: " + warc.digest(b"<p>gone")] + meta[7:8]
+
+
+@pytest.mark.parametrize("piece", ['<a "', "<title>", "<title", "<html ", "<a ", "<a href=", "<p '\"", "<!--", "<script>", "</script ", "<a href='", "<"])
+def test_warc_hostile_pages_take_linear_time(piece):
+    import time
+    page = piece * (1_000_000 // len(piece))
+    t = time.process_time()
+    warc.plain_text(page), warc.title_of(page), warc.language_of(page), warc.links_of(page)
+    assert time.process_time() - t < 20
+
+
+def test_warc_text_title_links():
+    page = ("<HTML\nlang='fr'><title>a > b &amp; c</title><a title='x>y' href=\"u v\">one</a> 1 < 2 <br/>two<a name=q>"
+            "<A HREF=z>three</A><b class='<p>'>bold</b> <a href='open")
+    assert warc.title_of(page) == "a > b & c" and warc.language_of(page) == "fr"
+    assert warc.plain_text(page) == "a > b & c\none 1 < 2\ntwothreebold <a href='open"
+    assert warc.links_of(page)[-2:] == ["z", "'open"]
+    assert warc.title_of("<title>never closed") is None and warc.plain_text("") == ""
+
+
+def test_quotations_are_pairs_of_marks():
+    scorer = toxicity.Scorer([("nitwit", False, 3.0)])
+    abuse = scorer.features("you are a nitwit, do not argue")
+    assert scorer.features("you're a nitwit, don't argue")[1] == abuse[1] == 0 and scorer.features("you're a nitwit, don't argue")[0] > 0
+    for quoted in ('it was "nitwit" there', "it was 'nitwit' there", "it was „nitwit“ there", "it was «nitwit» there", "it was ‘a nitwit’s’ there"):
+        assert scorer.features(quoted)[1] > 0, quoted
+    for plain in ("dogs' nitwit cats'", 'a "b" nitwit "c" d', 'an open " nitwit here', '"opened\nnitwit" closed'):
+        assert scorer.features(plain)[1] == 0, plain
+
+
+def test_rows_with_one_doc_id_keep_their_own_lines(spark):
+    got = sorted((r.doc_id, r.kept, r.n_dropped) for r in line_dedup.dedup_lines(frame(spark, [
+        (1, "a line that repeats\nx"), (2, "a line that repeats\ny"), (2, "unique long line of row b\ntail")])).collect())
+    assert got == [(1, "a line that repeats\nx", 0), (2, "unique long line of row b\ntail", 0), (2, "y", 1)]
