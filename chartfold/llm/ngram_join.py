@@ -85,10 +85,14 @@ def _sets(batches, n_words):
 
 def _describe(n_words):
     def run(batches):
-        for rows in _sets(batches, n_words):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([i for i, _ in rows], pa.int64()), pa.array([len(s) for _, s in rows], pa.int64()),
-                 binary_array([set_id(s) for _, s in rows])], names=["doc_id", "n_shingles", "sid"])
+        for batch in batches:
+            off, data = binary_parts(batch.column("text"))
+            for lo, hi in row_chunks(off, CHUNK_BYTES):
+                sets = shingle_sets(data, off[lo:hi + 1], n_words)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id").slice(lo, hi - lo), batch.column("text_key").slice(lo, hi - lo),
+                     pa.array([len(s) for s in sets], pa.int64()), binary_array([set_id(s) for s in sets])],
+                    names=["doc_id", "text_key", "n_shingles", "sid"])
     return run
 
 
@@ -333,7 +337,7 @@ def _candidates(docs: DataFrame, threshold: int, n_words: int):
     """(facts of the documents, sets, segments of the candidate sets, their rare n-grams, memberships that a link may depend on)."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    facts = durable(docs.mapInArrow(_describe(n_words), "doc_id bigint, n_shingles bigint, sid binary"))
+    facts = durable(docs.withColumn("text_key", F.xxhash64("text")).mapInArrow(_describe(n_words), "doc_id bigint, text_key bigint, n_shingles bigint, sid binary"))
     sets = facts.where("n_shingles > 0").groupBy("sid").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("n_copies"))
     buckets = shuffle_width(spark)
     payloads = docs.mapInArrow(_emit(buckets, threshold, n_words), "bucket int, attached boolean, payload binary")
@@ -366,17 +370,18 @@ def _met_pairs(apart: DataFrame, rare: DataFrame, threshold: int) -> DataFrame:
 
 
 def _places(sets: DataFrame, labels: DataFrame) -> DataFrame:
-    """(sid, component_id, n_copies) of every set."""
+    """(sid, component_id, n_copies, label) of every set; the label names its component."""
     named = sets.join(labels.withColumnRenamed("node", "sid"), "sid", "left").withColumn("label", F.coalesce("label", "sid"))
     least = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    return named.join(least, "label").select("sid", "component_id", "n_copies")
+    return named.join(least, "label").select("sid", "component_id", "n_copies", "label")
 
 
 def jaccard_components(docs: DataFrame, threshold: int = THRESHOLD, n_words: int = N_WORDS) -> DataFrame:
-    """(doc_id, n_shingles, component_id, n_copies) for documents (doc_id, text, ...).
+    """(doc_id, n_shingles, component_id, n_copies, text_key, label) for documents (doc_id, text, ...).
 
     component_id is the smallest doc_id that links reach; n_copies counts
-    the documents with the same shingle set.  Null or empty text: n_shingles 0, linked
+    the documents with the same shingle set.  text_key, Spark's xxhash64 of the text, tells rows with a repeated doc_id apart;
+    label names the component itself (null: linked with nothing), as components may share their smallest doc_id where ids repeat.  Null or empty text: n_shingles 0, linked
     with nothing.  Rows with a repeated doc_id are rows of their own and all
     returned; rows with a null doc_id are returned with their component's smallest
     known doc_id.  Very long texts are one row each and never cut.  An empty table gives no rows.  Other
@@ -400,7 +405,7 @@ def jaccard_components(docs: DataFrame, threshold: int = THRESHOLD, n_words: int
             labels = durable(components(links.unionByName(more)))
     return (facts.join(_places(sets, labels), "sid", "left")
             .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"),
-                    F.coalesce("n_copies", F.lit(1)).cast("long").alias("n_copies")))
+                    F.coalesce("n_copies", F.lit(1)).cast("long").alias("n_copies"), "text_key", "label"))
 
 
 def jaccard_links(docs: DataFrame, threshold: int = THRESHOLD, n_words: int = N_WORDS) -> DataFrame:
