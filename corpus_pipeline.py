@@ -6,7 +6,7 @@ next stage's documents.  All stages but the last return the columns of their doc
 
 from pyspark.sql import functions as F
 
-from chartfold.llm.common import table
+from chartfold.llm.common import durable, table
 from chartfold.llm.decontaminate import contamination
 from chartfold.llm.mixing import copies, mix, train_domains
 from chartfold.llm.ngram_join import jaccard_components
@@ -25,10 +25,27 @@ def toxicity(spark, docs, sf_dir):
 
 
 def ngram_join(spark, docs, sf_dir):
-    """The smallest doc_id of every component of near copies; of rows with one doc_id one stays, rows without doc_id all stay."""
-    gone = jaccard_components(docs).where("doc_id != component_id").select("doc_id").distinct()
-    named = docs.where("doc_id is not null").join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id"])
-    return named.select(*docs.columns).unionByName(docs.where("doc_id is null"))
+    """One row of every group of near copies: the smallest doc_id (a row without one last), then the smallest text hash.
+
+    Decided by row, (doc_id, text hash): a clean row stays whatever other rows have its doc_id.  Of rows equal in
+    both the least by all columns stays.  Rows without words are linked with nothing and all stay.
+    """
+    rows = durable(jaccard_components(docs).where("label is not null").select(
+        "label", F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_key").alias("at"))
+        .groupBy("label", "at").agg(F.count(F.lit(1)).alias("n")))
+    kept = rows.groupBy("label").agg(F.min("at").alias("at"))
+    gone = rows.select("label", "at").exceptAll(kept).select("at.*")
+    again = rows.where("n > 1").join(kept, ["label", "at"], "left_semi").select("at.*")
+
+    def among(found, how):
+        return keyed.join(found.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__text")),
+                          F.col("__doc").eqNullSafe(F.col("__id")) & F.col("__key").eqNullSafe(F.col("__text")), how)
+    keyed = docs.withColumns({"__doc": F.col("doc_id").cast("long"), "__key": F.xxhash64(F.col("text").cast("string"))})
+    keyed = among(gone, "left_anti")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    single = among(again, "left_anti").select(*[f"`{c}`" for c in docs.columns])
+    least = among(again, "left_semi").groupBy("__doc", "__key").agg(F.min(row).alias("__row")).select("__row.*")
+    return single.unionByName(least)
 
 
 def decontaminate(spark, docs, sf_dir):
