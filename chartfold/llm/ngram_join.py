@@ -88,10 +88,10 @@ def _describe(n_words):
         for batch in batches:
             off, data = binary_parts(batch.column("text"))
             for lo, hi in row_chunks(off, CHUNK_BYTES):
-                sets = shingle_sets(data, off[lo:hi + 1], n_words)
+                sets = [(len(s), set_id(s)) for s in shingle_sets(data, off[lo:hi + 1], n_words)]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").slice(lo, hi - lo), batch.column("text_key").slice(lo, hi - lo),
-                     pa.array([len(s) for s in sets], pa.int64()), binary_array([set_id(s) for s in sets])],
+                     pa.array([n for n, _ in sets], pa.int64()), binary_array([x for _, x in sets])],
                     names=["doc_id", "text_key", "n_shingles", "sid"])
     return run
 
