@@ -23,6 +23,9 @@ from .common import durable, shared_folder
 DATE = "2024-01-01T00:00:00Z"
 RECORD = "page_id long, kind string, record_id string, refers_to string, target_uri string, source_digest string, block_digest string, record binary"
 FILE_BYTES = 32 << 20
+READ_BYTES = 4 << 20                        # records given on at once, about
+LEVEL = 6                                   # of compression
+LISTED = 100_000                            # files whose names are broadcast; more are joined by a shuffle
 
 _DROP = re.compile(r"<!--.*?(?:-->|$)|<(script|style|template|noscript)\b.*?(?:</\1\s*>|$)", re.S | re.I)
 _BREAK = frozenset("address article aside blockquote br div dd dl dt fieldset figure footer form h1 h2 h3 h4 h5 h6 head header hr li main nav ol p pre section table td th tr ul title".split())
@@ -258,7 +261,7 @@ def _write(folder: str):
 
         for batch in batches:
             for raw in batch.column("record"):
-                held.append(gzip.compress(raw.as_py(), mtime=0))   # one gzip member a record
+                held.append(gzip.compress(raw.as_py(), LEVEL, mtime=0))   # one gzip member a record
                 size += len(held[-1])
                 if size >= FILE_BYTES:
                     yield close()
@@ -278,16 +281,26 @@ def _members(batches):
     import zlib
     for batch in batches:
         for raw in batch.column("content"):
-            rest, out = raw.as_py(), []
-            while rest:
-                d = zlib.decompressobj(31)
-                out.append(d.decompress(rest) + d.flush())
-                rest = d.unused_data
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["record"])
+            view, at, out, size = memoryview(raw.as_buffer()), 0, [], 0
+            while at < len(view):
+                d, piece = zlib.decompressobj(31), []
+                while at < len(view) and not d.eof:                 # the input goes in by pieces: what follows a member is not copied whole
+                    part = view[at:at + (64 << 10)]
+                    piece.append(d.decompress(part))
+                    at += len(part) - len(d.unused_data)
+                out.append(b"".join(piece) + d.flush())
+                size += len(out[-1])
+                if size >= READ_BYTES:
+                    yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["record"])
+                    out, size = [], 0
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["record"])
 
 
 def read_warc(spark: SparkSession, folder: str, files: DataFrame) -> DataFrame:
     """Records of the listed files."""
     stored = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.gz").load(folder)
-    return (stored.select(F.element_at(F.split("path", "/"), -1).alias("name"), "content").join(files.select("name"), "name")
+    names = files.select("name")
+    names = F.broadcast(names) if names.count() <= LISTED else names
+    return (stored.select(F.element_at(F.split("path", "/"), -1).alias("name"), "content").join(names, "name")
             .mapInArrow(_members, "record binary"))
