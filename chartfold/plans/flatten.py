@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.sqlcompat import day_boundaries, flag, full_name, minute_boundaries, year_boundaries
 from ..operators.joins import bounded_broadcasts
+from ..operators.skew import split_join
 from ..operators.topone import latest_per_parent
 
 FLAT_OBS_COLUMNS = [
@@ -48,10 +49,12 @@ def preferred_names(concept_name: DataFrame, prefix: str, locale: str = "en") ->
 
 
 def flatten_observations(t: dict[str, DataFrame], obs_filter: Column | None = None,
-                         void_filter: bool = True, source_ids: bool = False) -> DataFrame:
+                         void_filter: bool = True, source_ids: bool = False, split_visits: bool = True) -> DataFrame:
     """``flattened_observations``: one row per live obs of a live encounter (x name fan-out).
 
     ``source_ids`` adds the ids the dictionary joins went by and the encounter's date (``SOURCE_IDS``).
+    ``split_visits`` deals the encounters of heavy visits, and those without a visit, over many tasks (J3);
+    a caller that knows its encounters to be few saves the look at their keys.
     """
     obs = t["obs"]
     if obs_filter is not None:
@@ -85,7 +88,10 @@ def flatten_observations(t: dict[str, DataFrame], obs_filter: Column | None = No
     et, vt, loc, vn, qn = bounded_broadcasts([et, vt, loc, vn, qn])
 
     # encounter side first: encounter -> visit -> encounter_type, visit_type
-    ev = enc.join(visit, enc.e_visit_id == visit.visit_id, "left")
+    if split_visits:
+        ev = split_join(enc, visit, "e_visit_id", "visit_id", spread="e_encounter_id")
+    else:
+        ev = enc.join(visit, enc.e_visit_id == visit.visit_id, "left")
     ev = ev.join(et, ev.e_type == et.et_id, "left").join(vt, ev.v_visit_type_id == vt.vt_id, "left")
     # obs LEFT JOIN encounter ... WHERE encounter.voided = 0  ==  inner join with live encounters
     flat = obs.join(ev, obs.encounter_id == ev.e_encounter_id, "inner")
@@ -149,18 +155,25 @@ def flatten_appointments(t: dict[str, DataFrame], as_of=None, appt_filter: Colum
     loc = (_live(t["location"], "retired").select(
         F.col("location_id").alias("l_id"), F.col("name").alias("location_name"),
         F.col("description").alias("location_description")))
-    svc, stype, loc = bounded_broadcasts([svc, stype, loc])
     prov = _live(t["provider"], "retired").select(
         F.col("provider_id").alias("pr_id"), F.col("person_id").alias("pr_person_id"))
+    persons = prov.select(F.col("pr_person_id").alias("x_person_id")).distinct()
+    svc, stype, loc, persons = bounded_broadcasts([svc, stype, loc, persons])
+    # the names of provider persons only (J14): the table of all persons' names is read, not shuffled
     ppn = _person_names(t, "ppn_")
-    prov = prov.join(ppn, prov.pr_person_id == ppn.ppn_person_id, "left")
+    ppn = ppn.join(persons, ppn.ppn_person_id == F.col("x_person_id"), "left_semi")
+    named = prov.join(ppn, prov.pr_person_id == ppn.ppn_person_id, "left")
+    prov, = bounded_broadcasts([named])
 
     j = pa.join(person, pa.patient_id == person.p_id, "left")
     j = j.join(pn, j.patient_id == pn.pn_person_id, "left")
     j = j.join(svc, j.appointment_service_id == svc.s_id, "left")
     j = j.join(stype, j.appointment_service_type_id == stype.st_id, "left")
     j = j.join(loc, j.location_id == loc.l_id, "left")
-    j = j.join(prov, j.provider_id == prov.pr_id, "left")
+    if prov is named:                                        # too many to broadcast: few providers may hold most rows (J13)
+        j = split_join(j, prov, "provider_id", "pr_id", spread="patient_appointment_id")
+    else:
+        j = j.join(prov, j.provider_id == prov.pr_id, "left")
     return j.select(
         "patient_appointment_id", "appointment_number", F.col("uuid").alias("appointment_uuid"),
         "patient_id", full_name("pn_given_name", "pn_family_name").alias("patient_name"),
