@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from .functions.classify import value_type
 from .plans.flatten import flatten_appointments, flatten_observations, flatten_patient_program, latest_states
+from .operators.skew import heavy_key_counts
 from .operators.upsert import change_order, upsert_by_key
 from .plans import incremental as incr
 from .plans.pivot import ENCOUNTER_KEYS, PivotSpec, build_catalog, catalog_frame, coded_answers, concept_types, widen
@@ -546,6 +547,38 @@ def q_bootstrap_or_increment(spark, sf_dir):
     return store.wide()
 
 
+def q_reports_after_increment(spark, sf_dir):
+    """Every report from the month states that an increment kept up, as (report, name, type, person, value)."""
+    from .plans.refresh import WideStore
+    from .plans.reports import REPORTS
+    store = WideStore(spark, root=scratch_path(spark, "tables"), reports=True)
+    src = source(spark, sf_dir)
+    store.build_full(src.at(INCR_T1).tables())
+    store.increment(src.tables())
+    states, out = store.report_states(), None
+    for name, report in REPORTS.items():
+        df = report(states).withColumnsRenamed({"metric": "location_name", "n_visits": "value", "n_rows": "value"})
+        have = set(df.columns)
+        df = df.select(F.lit(name).alias("report"), *[(F.col(c) if c in have else F.lit(None)).cast(t).alias(c) for c, t in (
+            ("location_name", "string"), ("encounter_type_name", "string"), ("person_id", "long"), ("value", "long"))])
+        out = df if out is None else out.unionByName(df)
+    return out
+
+
+#: A key is reported when it holds this part of a table's rows.
+HEAVY_SHARE = 0.001
+
+
+def q_heavy_join_keys(spark, sf_dir):
+    """The keys of the two skewed joins that hold a thousandth of the rows or more, with exact counts."""
+    t = source(spark, sf_dir).tables(["encounter", "patient_appointment"])
+
+    def keys(table, key):
+        counts = heavy_key_counts(t[table], key, HEAVY_SHARE)
+        return counts.select(F.lit(table).alias("table_name"), F.col(key).cast("string").alias("join_key"), "n_rows")
+    return keys("encounter", "visit_id").unionByName(keys("patient_appointment", "provider_id"))
+
+
 def q_stream_change_files(spark, sf_dir):
     """The raw obs table after a stream that wrote its micro-batches as change files, merged as it is read."""
     from .streaming.ingest import ingest_available
@@ -650,4 +683,6 @@ def registry() -> dict:
         "bootstrap_or_increment": q_bootstrap_or_increment,
         "stream_available_now": q_stream_available_now,
         "stream_change_files": q_stream_change_files,
+        "reports_after_increment": q_reports_after_increment,
+        "heavy_join_keys": q_heavy_join_keys,
     }

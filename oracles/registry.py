@@ -226,6 +226,28 @@ def reporting_queries() -> dict[str, str]:
       ORDER BY n_visits DESC, location_name ASC NULLS LAST LIMIT 10"""
     q["visit_frequency"] = f + """
       SELECT person_id, count(DISTINCT visit_id) AS n_visits FROM flat GROUP BY 1"""
+    q["reports_after_increment"] = f + f"""
+      , g AS ({GROUPS}),
+      top AS (SELECT location_name, count(DISTINCT visit_id) AS value FROM flat GROUP BY 1
+              ORDER BY value DESC, location_name ASC NULLS LAST LIMIT 10),
+      totals AS (SELECT 'patients' AS metric, count(DISTINCT person_id) AS value FROM flat
+                 UNION ALL SELECT 'encounters', count(DISTINCT encounter_id) FROM flat
+                 UNION ALL SELECT 'observations', count(DISTINCT obs_id) FROM flat)
+      SELECT 'clinical_totals' AS report, metric AS location_name, CAST(NULL AS VARCHAR) AS encounter_type_name,
+             CAST(NULL AS BIGINT) AS person_id, value FROM totals
+      UNION ALL SELECT 'top_locations', location_name, NULL, NULL, value FROM top
+      UNION ALL SELECT 'visit_frequency', NULL, NULL, person_id, count(DISTINCT visit_id) FROM flat GROUP BY person_id
+      UNION ALL SELECT 'encounter_types_by_location', location_name, encounter_type_name, NULL, count(*) FROM g
+                GROUP BY location_name, encounter_type_name
+      UNION ALL SELECT 'encounter_type_distribution', NULL, encounter_type_name, NULL, count(*) FROM g GROUP BY encounter_type_name
+      UNION ALL SELECT 'lab_results_by_location', location_name, NULL, NULL, count(*) FROM g
+                WHERE encounter_type_name = 'Lab Results' GROUP BY location_name"""
+    q["heavy_join_keys"] = with_views("""
+      SELECT 'encounter' AS table_name, CAST(visit_id AS VARCHAR) AS join_key, count(*) AS n_rows FROM encounter GROUP BY visit_id
+      HAVING count(*) >= 0.001 * (SELECT count(*) FROM encounter)
+      UNION ALL
+      SELECT 'patient_appointment', CAST(provider_id AS VARCHAR), count(*) FROM patient_appointment GROUP BY provider_id
+      HAVING count(*) >= 0.001 * (SELECT count(*) FROM patient_appointment)""")
     q["daily_encounter_volume"] = with_views("""
       SELECT CAST(encounter_datetime AS DATE) AS day, count(*) AS n_encounters FROM encounter
       WHERE NOT voided GROUP BY 1""")

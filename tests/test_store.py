@@ -88,7 +88,7 @@ def small_jobs(spark):
 @pytest.fixture(scope="module")
 def built(spark, world):
     root = scratch_path(spark, "test-built")
-    WideStore(spark, root=root).build_full(world)
+    WideStore(spark, root=root, reports=True).build_full(world)
     return root
 
 
@@ -322,3 +322,56 @@ def test_two_runs_cannot_publish_the_same_number(spark, world, store):
     store.log.publish(commit, 1)
     with pytest.raises(Exception, match="exist"):
         store.log.publish(commit, 1)
+
+
+def assert_reports_like_full_scans(store, raw):
+    from chartfold.plans import analytics as an
+    from chartfold.plans import reports as rp
+    from chartfold.plans.pivot import ENCOUNTER_KEYS
+    flat = flatten_observations(raw)
+    groups = flat.select(*ENCOUNTER_KEYS).distinct()
+    states = store.report_states()
+    for report, full in ((rp.clinical_totals, an.clinical_totals(flat)), (rp.top_locations, an.top_locations(flat)),
+                         (rp.visit_frequency, an.visit_frequency(flat)), (rp.encounter_types_by_location, an.encounter_types_by_location(groups)),
+                         (rp.encounter_type_distribution, an.encounter_type_distribution(groups)),
+                         (rp.lab_results_by_location, an.lab_results_by_location(groups))):
+        kept = report(states)
+        assert set(kept.columns) == set(full.columns)
+        assert _same(kept, full), report.__name__
+
+
+def test_reports_from_month_states_equal_full_scans(spark, world, store):
+    assert_reports_like_full_scans(store, world)
+    at = F.lit(LATER).cast("timestamp_ntz")
+    # an encounter voided, a visit that loses its start date while its encounters lie in two months, obs at another place and without a person
+    enc, visit = F.col("encounter_id") == 12, F.col("visit_id") == 6
+    moved = dict(world)
+    moved["encounter"] = world["encounter"].withColumns({
+        "voided": enc, "date_voided": F.when(enc, at), "visit_id": F.when(F.col("encounter_id") == 13, 6).otherwise(F.col("visit_id")),
+        "date_created": F.when(F.col("encounter_id") == 13, at).otherwise(F.col("date_created"))})
+    moved["visit"] = world["visit"].withColumns({"date_started": F.when(~visit, F.col("date_started")),
+                                                 "date_created": F.when(visit, at).otherwise(F.col("date_created"))})
+    moved["obs"] = world["obs"].unionByName(table(spark, "obs", [
+        {**obs_row(20, 13, 100, LATER, value_numeric=1.0), "location_id": None, "person_id": 11},
+        {**obs_row(21, 10, 100, LATER, value_numeric=2.0), "person_id": None}]))
+    info = store.increment(moved)
+    assert 202403 in info["partitions"] and "202403" not in store.commit()["parts"]["reports"]
+    assert store.report_states().where("kind = 'loose'").select(refresh.PART).distinct().count() == 2
+    assert_reports_like_full_scans(store, moved)
+    more = dict(moved, obs=moved["obs"].unionByName(table(spark, "obs", [obs_row(22, 10, 300, LATER + dt.timedelta(1), value_text="hot")])))
+    store.increment(more, since=LATER + dt.timedelta(hours=1))
+    assert_reports_like_full_scans(store, more)
+
+
+def test_reports_read_states_only(spark, store):
+    from chartfold.plans.reports import REPORTS
+    for report in REPORTS.values():
+        files = report(store.report_states()).inputFiles()
+        assert files and all("/reports/run=" in f for f in files)
+
+
+def test_a_store_without_reports_says_so(spark, world):
+    bare = WideStore(spark, root=scratch_path(spark, "test-store"))
+    bare.build_full(world)
+    with pytest.raises(ValueError):
+        bare.report_states()
