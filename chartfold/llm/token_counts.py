@@ -162,7 +162,7 @@ def _worker_library(path: str) -> Library:
     return held.library, held.classes
 
 
-def _cut(data: np.ndarray, off: np.ndarray, classes: np.ndarray, special: list[bytes]):
+def cut_texts(data: np.ndarray, off: np.ndarray, classes: np.ndarray, special: list[bytes]):
     """(bytes, starts, lengths, text of each piece, odd texts) of the texts between the offsets."""
     raw = data[int(off[0]):int(off[-1])]
     off = off - off[0]
@@ -191,7 +191,7 @@ def count_texts(column, library: Library, classes: np.ndarray, table: LengthTabl
         if not library.by_pieces:
             out[lo:hi] = library.count([data[a:b].tobytes().decode() for a, b in zip(off[lo:hi], off[lo + 1:hi + 1])])
             continue
-        raw, whole, cuts, starts, lengths, text, odd = _cut(data, off[lo:hi + 1], classes, library.special)
+        raw, whole, cuts, starts, lengths, text, odd = cut_texts(data, off[lo:hi + 1], classes, library.special)
         if odd:
             plain = ~np.isin(text, np.fromiter(odd, np.int64))
             starts, lengths, text = starts[plain], lengths[plain], text[plain]
@@ -234,7 +234,7 @@ def _summarise(path: str):
             for lo, hi in row_chunks(off, TEXT_AT_ONCE):
                 if off[hi] == off[lo]:
                     continue
-                raw, _, _, starts, lengths, _, _ = _cut(data, off[lo:hi + 1], classes, [])
+                raw, _, _, starts, lengths, _, _ = cut_texts(data, off[lo:hi + 1], classes, [])
                 short = np.flatnonzero(lengths <= KEY_BYTES)
                 k = piece_keys(raw, starts[short], lengths[short])
                 k, c = _merge(k, np.ones(k.shape[1], np.int64), 4 * SUMMARY)

@@ -15,11 +15,11 @@ from __future__ import annotations
 
 import os
 import re
-import struct
 import sys
 import types
 import uuid
 import zlib
+from itertools import chain, count
 
 import numpy as np
 import pyarrow as pa
@@ -28,15 +28,20 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from .common import binary_parts, durable, row_chunks, shared_folder
+from .pretokens import byte_level, character_classes
 from .ranges import deal_by_id
+from .token_counts import KEY_BYTES, LengthTable, cut_texts, piece_keys
 
 MAGIC = b"CFTOKEN1"
 BLOCK = 4096
 END_ID = 2
 IDS_A_FILE = 2 << 20             # a file is closed after the document that reaches this
 CHARS_A_RANGE = 16 << 20         # characters that a range of documents holds about
-CACHE_UNITS = 300_000            # units whose ids a worker remembers, about
-TEXT_AT_ONCE = 1 << 20           # bytes of text whose new units go to the library together
+CACHE_UNITS = 1 << 17            # pieces whose ids a worker remembers
+LONGEST_REMEMBERED = 64          # bytes of a piece
+LINE = 256                       # new pieces that go to the library as one text
+TEXT_AT_ONCE = 1 << 20           # bytes of text whose pieces are looked up together
+_CUT = re.compile(r" (?=[A-Za-z])")
 _HEAD = np.dtype([("magic", "S8"), ("bits", "<u4"), ("block", "<u4"), ("documents", "<u8"), ("ids", "<u8")])
 
 
@@ -93,52 +98,176 @@ class TokenFile:
 
 
 class Encoder:
-    """Encodes texts with the tokenizers library by units that no merge crosses.
-
-    The byte-level pattern always starts a new piece at a space that a non-space follows, so the ids of a text are
-    those of its units at these places, one after the other.  Texts of ASCII and Latin-1 letters are cut further, into the
-    pieces of the pattern itself, which has one reading there.  The library encodes each unit once and the ids of the
-    first units met (a bounded number, frequent ones among them) are remembered.  A text that holds a special token goes to the library whole.
+    """Encodes texts with the tokenizers library by pre-tokens, which no merge crosses.
+
+    A vocabulary that cuts by the byte-level pattern (read from its file): the pieces of a block of texts are cut in numpy, the
+    library encodes each distinct piece once, and the ids of the pieces met are remembered in a table that is probed for all
+    pieces at once.  The ids of a block are then one gather.  New pieces go to the library many in a line, between line feeds: none
+    holds white space but a first blank, so the pattern cuts them there again.  ``CACHE_UNITS`` pieces are remembered; beyond, those used
+    least are forgotten and learned anew when met.  Texts with a special token go to the library whole, and those with a character that versions of Unicode class
+    differently are cut only at spaces before ASCII letters.  With any other vocabulary every text goes to the library whole.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
         self.bits = bits_for(self.tokenizer.get_vocab_size())
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.cut = re.compile(r" (?=\S)")
-        letters = "A-Za-zÀ-ÖØ-öø-ÿ"
-        self.odd = re.compile(rf"[^\n\r\t\x20-\x7E{letters}]")
-        self.pieces = re.compile(rf"'(?:s|t|re|ve|m|ll|d)| ?[{letters}]+| ?[0-9]+| ?[^\s{letters}0-9]+|\s+(?!\S)|\s+")
-        self.known: dict[str, bytes] = {}
-
-    def _units(self, text: str) -> list[str]:
-        if any(s in text for s in self.special):
-            return [text]
-        if not self.odd.search(text):
-            return self.pieces.findall(text)
-        first, *rest = self.cut.split(text)
-        return [first] + [" " + p for p in rest]
-
-    def _library(self, units: list[str]) -> dict[str, bytes]:
-        coded = self.tokenizer.encode_batch_fast(units, add_special_tokens=False)
-        return {u: struct.pack(f"<{len(i)}I", *i) for u, i in zip(units, (e.ids for e in coded))}
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        flat, cuts = [], [0]
-        for t in texts:
-            flat += self._units(t)
-            cuts.append(len(flat))
-        got = list(map(self.known.get, flat))
-        missing = [i for i, g in enumerate(got) if g is None]
-        if missing:
-            made = self._library(list({flat[i] for i in missing}))
-            for i in missing:
-                got[i] = made[flat[i]]
-            if len(self.known) < CACHE_UNITS:
-                self.known.update(made)
-        return [np.frombuffer(b"".join(got[a:b]), "<u4") for a, b in zip(cuts, cuts[1:])]
+        self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.by_pieces = byte_level(path)
+        self.classes = character_classes() if self.by_pieces else None
+        feed = self.tokenizer.encode("\n", add_special_tokens=False).ids
+        self.feed = feed[0] if self.by_pieces and len(feed) == 1 else None
+        self._start()
+
+    def _start(self) -> None:
+        self.table = LengthTable(np.zeros((3, 0), np.uint64), np.zeros(0, np.int32))
+        self.known: dict[bytes, int] = {}              # every remembered piece; the table holds the short ones of them
+        self.recent: list[bytes] = []                  # short pieces that the table does not hold yet
+        self.in_table = 0
+        self.ids = np.empty(1 << 16, "<u4")            # ids of the remembered pieces, one after the other
+        self.first, self.size, self.uses = (np.zeros(1 << 12, np.int64) for _ in range(3))
+        self.entries = self.used = 0
+
+    def _library(self, units: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(units, add_special_tokens=False)]
+
+    def _coded(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, number of ids of each piece)."""
+        texts = [p.decode() for p in pieces]
+        sizes = np.zeros(len(texts), np.int64)
+        alone = [i for i, t in enumerate(texts) if self.feed is None or t[-1].isspace()]
+        apart = set(alone)
+        lined = [i for i in range(len(texts)) if i not in apart] if apart else list(range(len(texts)))
+        lines = [lined[i:i + LINE] for i in range(0, len(lined), LINE)]
+        got: list[tuple[int, np.ndarray]] = []
+        for line, ids in zip(lines, self._library(["\n".join([texts[i] for i in line]) for line in lines])):
+            ids = np.array(ids, np.uint32)
+            ends = np.append(np.flatnonzero(ids == self.feed), len(ids))
+            if len(ends) != len(line):                    # not the cut that was expected: one by one
+                alone += line
+                continue
+            starts = np.concatenate(([0], ends[:-1] + 1))
+            sizes[line] = ends - starts
+            got.append((line[0], ids[ids != self.feed]))
+        coded = self._library([texts[i] for i in alone])
+        for i, ids in zip(alone, coded):
+            sizes[i] = len(ids)
+        if not alone:
+            return np.concatenate([g for _, g in got]) if got else np.empty(0, np.uint32), sizes
+        out = np.empty(int(sizes.sum()), np.uint32)
+        at = np.cumsum(sizes) - sizes
+        loose = set(alone)
+        kept = np.array([i for i in lined if i not in loose], np.int64)
+        n = sizes[kept]
+        out[np.repeat(at[kept] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))] = np.concatenate([g for _, g in got]) if got else []
+        for i, ids in zip(alone, coded):
+            out[at[i]:at[i] + sizes[i]] = ids
+        return out, sizes
+
+    def _append(self, ids: np.ndarray, sizes: np.ndarray) -> int:
+        """Entries for these ids; the number of the first."""
+        at, total = self.entries, len(ids)
+        while self.used + total > len(self.ids):
+            self.ids = np.concatenate((self.ids, np.empty(len(self.ids), "<u4")))
+        while at + len(sizes) > len(self.size):
+            self.first, self.size, self.uses = (np.concatenate((x, np.zeros(len(x), np.int64))) for x in (self.first, self.size, self.uses))
+        self.ids[self.used:self.used + total] = ids
+        self.size[at:at + len(sizes)] = sizes
+        self.first[at:at + len(sizes)] = self.used + np.cumsum(sizes) - sizes
+        self.uses[at:at + len(sizes)] = 0
+        self.entries, self.used = at + len(sizes), self.used + total
+        return at
+
+    def _learn(self, pieces: list[bytes]) -> tuple[dict[bytes, int], tuple[int, int]]:
+        """Entries of new pieces; long ones come last and hold only until the mark that is returned is set again."""
+        new = set(pieces)
+        long = [p for p in new if len(p) > LONGEST_REMEMBERED]
+        short = list(new.difference(long)) if long else list(new)
+        made = dict(zip(short, count(self._append(*self._coded(short)))))
+        mark = self.entries, self.used
+        self.known.update(made)
+        self.recent += short
+        if long:
+            made.update(zip(long, count(self._append(*self._coded(long)))))
+        return made, mark
+
+    def _remember(self, pieces: list[bytes]) -> None:
+        """Table of the remembered pieces that are short enough for it."""
+        short = [p for p in pieces if len(p) <= KEY_BYTES]
+        sizes = np.fromiter(map(len, short), np.int64, len(short))
+        raw = np.frombuffer(b"".join(short), np.uint8)
+        self.table = LengthTable(piece_keys(raw, np.cumsum(sizes) - sizes, sizes), np.array([self.known[p] for p in short], np.int32))
+        self.in_table, self.recent = len(short), []
+
+    def _settle(self) -> None:
+        """Take the recent pieces into the table once they are as many as those in it; forget the less used ones when there are too many."""
+        if len(self.known) > CACHE_UNITS:
+            pieces, at = list(self.known), np.fromiter(self.known.values(), np.int64, len(self.known))
+            uses = self.uses[at]
+            keep = np.argsort(-uses, kind="stable")[:CACHE_UNITS // 4]
+            keep = keep[uses[keep] > 1]
+            first, size = self.first[at[keep]], self.size[at[keep]]
+            upto = np.cumsum(size)
+            ids = self.ids[np.repeat(first - (upto - size), size) + np.arange(int(size.sum()))]
+            self._start()
+            pieces = [pieces[i] for i in keep.tolist()]
+            self.known = dict(zip(pieces, count(self._append(ids, size))))
+            self._remember(pieces)
+        elif len(self.recent) > max(1024, self.in_table):
+            self._remember(list(self.known))
+
+    def _entries_of(self, raw, whole, starts, lengths) -> tuple[np.ndarray, tuple[int, int]]:
+        entry = np.full(len(starts), -1, np.int64)
+        short = np.flatnonzero(lengths <= KEY_BYTES)
+        entry[short] = self.table.find(piece_keys(raw, starts[short], lengths[short]))
+        miss = np.flatnonzero(entry < 0)
+        mark = self.entries, self.used
+        if len(miss):
+            pieces = [whole[a:b] for a, b in zip(starts[miss].tolist(), (starts[miss] + lengths[miss]).tolist())]
+            got = list(map(self.known.get, pieces))
+            unknown = [p for p, g in zip(pieces, got) if g is None]
+            if unknown:
+                made, mark = self._learn(unknown)
+                got = [made[p] if g is None else g for p, g in zip(pieces, got)]
+            entry[miss] = got
+        return entry, mark
+
+    def _odd(self, text: bytes) -> np.ndarray:
+        whole = text.decode()
+        units = [whole]
+        if not any(s in text for s in self.special):
+            first, *rest = _CUT.split(whole)
+            units = [first] + [" " + p for p in rest]
+        return np.fromiter(chain.from_iterable(self._library(units)), np.uint32)
+
+    def encode(self, off: np.ndarray, data: np.ndarray) -> list[np.ndarray]:
+        """Ids of each text ``data[off[i]:off[i + 1]]``."""
+        n = len(off) - 1
+        if not self.by_pieces:
+            texts = [data[a:b].tobytes().decode() for a, b in zip(off, off[1:])]
+            return [np.array(i, "<u4") for i in self._library(texts)]
+        if off[-1] == off[0]:
+            return [np.empty(0, "<u4")] * n
+        raw, whole, cuts, starts, lengths, text, odd = cut_texts(data, off, self.classes, self.special)
+        if odd:
+            plain = ~np.isin(text, np.fromiter(odd, np.int64))
+            starts, lengths, text = starts[plain], lengths[plain], text[plain]
+        entry, mark = self._entries_of(raw, whole, starts, lengths)
+        self.uses[:self.entries] += np.bincount(entry, minlength=self.entries)
+        size = self.size[entry]
+        upto = np.cumsum(size)
+        total = int(upto[-1]) if len(upto) else 0
+        ids = self.ids[np.repeat(self.first[entry] - (upto - size), size) + np.arange(total)]
+        ends = np.concatenate(([0], np.cumsum(np.bincount(text, weights=size, minlength=n)).astype(np.int64)))
+        out = [ids[a:b] for a, b in zip(ends, ends[1:])]
+        for t in odd:
+            out[t] = self._odd(whole[cuts[t]:cuts[t + 1]])
+        self.entries, self.used = mark
+        self._settle()
+        return out
 
 
 def _coder(path: str) -> Encoder:
@@ -168,10 +297,10 @@ def _write(folder: str, tokenizer: str, end_id: int):
             return row
 
         for batch in batches:
-            off, _ = binary_parts(batch.column("text"))
+            off, data = binary_parts(batch.column("text"))
             for lo, hi in row_chunks(off, TEXT_AT_ONCE):
                 some = batch.slice(lo, hi - lo)
-                coded = coder.encode([t or "" for t in some.column("text").to_pylist()])
+                coded = coder.encode(off[lo:hi + 1], data)
                 for p, doc, ids in zip(some.column("part").to_pylist(), some.column("doc_id").to_pylist(), coded):
                     if p != part:
                         if doc_ids:

@@ -356,3 +356,33 @@ def test_rows_with_one_doc_id_keep_their_own_lines(spark):
     got = sorted((r.doc_id, r.kept, r.n_dropped) for r in line_dedup.dedup_lines(frame(spark, [
         (1, "a line that repeats\nx"), (2, "a line that repeats\ny"), (2, "unique long line of row b\ntail")])).collect())
     assert got == [(1, "a line that repeats\nx", 0), (2, "unique long line of row b\ntail", 0), (2, "y", 1)]
+
+
+@pytest.mark.parametrize("cache", [token_files.CACHE_UNITS, 50])
+def test_encoder_equals_the_library(rows, monkeypatch, cache):
+    from tokenizers import Tokenizer
+    monkeypatch.setattr(token_files, "CACHE_UNITS", cache)                  # 50: forgets and learns anew all the time
+    path = queries.byte_bpe_path()
+    t, coder = Tokenizer.from_file(path), token_files.Encoder(path)
+    rng = np.random.default_rng(3)
+    signs = list("aZ é'stmrvl09 \n\t  .,;!-\x1c²١ñ漢😀͸") + ["<|endoftext|>", "'ll", "  ", "x" * 90, " " * 70]
+    texts = [x or "" for _, x in rows] + ["".join(rng.choice(signs, rng.integers(0, 60))) for _ in range(2_000)] + [""]
+    for lo in range(0, len(texts), 97):
+        some = texts[lo:lo + 97]
+        raw = [x.encode() for x in some]
+        off = np.concatenate(([0], np.cumsum([len(r) for r in raw]))).astype(np.int64)
+        got = coder.encode(off, np.frombuffer(b"".join(raw), np.uint8))
+        assert [g.tolist() for g in got] == [t.encode(x, add_special_tokens=False).ids for x in some]
+    assert len(coder.known) <= cache or cache == 50
+
+
+def test_encoder_gives_other_vocabularies_whole_texts():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    path = public_tokenizers.path("word_bpe_49k.json")
+    t, coder = Tokenizer.from_file(path), token_files.Encoder(path)
+    texts = ["It's one  Two\nthree", "", "naïve x2 ²"]
+    raw = [x.encode() for x in texts]
+    off = np.concatenate(([0], np.cumsum([len(r) for r in raw]))).astype(np.int64)
+    got = coder.encode(off, np.frombuffer(b"".join(raw), np.uint8))
+    assert not coder.by_pieces and [g.tolist() for g in got] == [t.encode(x, add_special_tokens=False).ids for x in texts]
