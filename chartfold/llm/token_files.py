@@ -50,12 +50,16 @@ def bits_for(vocabulary: int) -> int:
 
 
 def pack(ids: np.ndarray, bits: int) -> bytes:
+    if bits in (8, 16, 32):                            # whole bytes: the packed form is the array itself
+        return ids.astype(f"<u{bits // 8}").tobytes()
     wide = np.unpackbits(ids.astype("<u4").view(np.uint8).reshape(-1, 4), axis=1, bitorder="little")[:, :bits]
     return np.packbits(wide.reshape(-1), bitorder="little").tobytes()
 
 
 def unpack(raw, count: int, bits: int) -> np.ndarray:
     """First ``count`` ids of a block: an 8-byte window per id, shifted and masked."""
+    if bits in (8, 16, 32):
+        return np.frombuffer(raw, f"<u{bits // 8}", count).astype(np.uint32)
     padded = np.concatenate((np.frombuffer(raw, np.uint8), np.zeros(8, np.uint8)))
     window = np.lib.stride_tricks.as_strided(padded[:8].view("<u8"), (len(padded) - 7,), (1,))
     at = np.arange(count, dtype=np.uint64) * np.uint64(bits)

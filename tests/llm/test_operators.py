@@ -258,7 +258,7 @@ def test_token_files_round_trip(spark, rows):
     assert len(got) == len(want)
 
 
-@pytest.mark.parametrize("bits", [1, 7, 13, 16, 17, 31])
+@pytest.mark.parametrize("bits", [1, 7, 8, 13, 16, 17, 31, 32])
 def test_bit_packing(bits):
     ids = np.random.default_rng(bits).integers(0, 1 << bits, 10_001).astype(np.uint32)
     f = token_files.TokenFile(token_files.encode_file([5, None], [4000, 10_001], ids, bits))
