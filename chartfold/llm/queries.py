@@ -17,7 +17,7 @@ from .sharding import shard_documents
 from .token_counts import count_tokens
 from .token_files import token_documents
 from .toxicity import held_out, score_texts, train
-from .url_filter import RULES, SOFT_NEEDED, SOFT_TERMS, STRICT_TERMS, filter_urls
+from .url_filter import RULES, SOFT_NEEDED, SOFT_ROOTS, STRICT_TERMS, filter_urls
 from .warc import derive_records, read_warc, response_records, write_warc
 
 
@@ -159,9 +159,11 @@ def _op9_sql():
 with u as (select page_id, lower(coalesce(url, '')) as low,
     case when contains(url, '://') then substr(url, instr(url, '://') + 3) else '' end as rest from pages),
 h as (select page_id, {_LOWER.format("regexp_extract(rest, '^[^/?#]*')")} as host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) as path,
-    cast({' + '.join(map(has, STRICT_TERMS))} as int) as strict_hits, cast({' + '.join(map(has, SOFT_TERMS))} as int) as soft_hits from u)
+    cast({' + '.join(map(has, STRICT_TERMS))} as int) as strict_hits,
+    cast({' + '.join(has('(' + '|'.join(f) + ')') for _, f in SOFT_ROOTS)} as int) as soft_hits,
+    cast({' + '.join(f"{w} * " + has('(' + '|'.join(f) + ')') for w, f in SOFT_ROOTS)} as int) as soft_weight from u)
 select page_id, host, path, case {rule} end as rule,
-  case {verdict} when strict_hits >= 1 or soft_hits >= {SOFT_NEEDED} then 'block' else 'allow' end as verdict, strict_hits, soft_hits
+  case {verdict} when strict_hits >= 1 or (soft_hits >= 2 and soft_weight >= {SOFT_NEEDED}) then 'block' else 'allow' end as verdict, strict_hits, soft_hits, soft_weight
 from h
 """
 

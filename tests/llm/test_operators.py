@@ -386,3 +386,15 @@ def test_encoder_gives_other_vocabularies_whole_texts():
     off = np.concatenate(([0], np.cumsum([len(r) for r in raw]))).astype(np.int64)
     got = coder.encode(off, np.frombuffer(b"".join(raw), np.uint8))
     assert not coder.by_pieces and [g.tolist() for g in got] == [t.encode(x, add_special_tokens=False).ids for x in texts]
+
+
+def test_url_filter_counts_roots_by_weight(spark):
+    urls = {"http://a.net/downloads/download.html": ("allow", 1, 1), "http://a.net/ad/ads.html": ("allow", 1, 2), "http://a.net/deals/deal/1": ("allow", 1, 1),
+            "http://bank.net/loans/cash": ("allow", 2, 2), "http://a.net/cash-bonus/prize": ("block", 3, 3), "http://a.net/betting/bets-free": ("block", 2, 3),
+            "http://a.net/" + "bet-" * 30_000: ("allow", 1, 2), "": ("allow", 0, 0)}
+    pages = spark.createDataFrame([(i, u, "x", 1) for i, u in enumerate(urls)], "page_id long, url string, host string, hits int")
+    got = [(r.verdict, r.soft_hits, r.soft_weight) for r in url_filter.filter_urls(pages).orderBy("page_id").collect()]
+    assert got == list(urls.values())
+    assert url_filter.filter_urls(pages.limit(0)).count() == 0
+    with pytest.raises(ValueError):
+        url_filter.filter_urls(pages, soft=((1, ("a", "b")), (2, ("b",))))
