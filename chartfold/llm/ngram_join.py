@@ -21,6 +21,8 @@ segment with many others are attached to one leader before the shuffle.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -36,6 +38,7 @@ RARE = 8                            # sets that share an n-gram at most for it t
 LEADER_FROM = 8                     # sets of one batch that share a segment before a leader stands for them
 CHUNK_BYTES = 1 << 20            # text worked on at once
 FLUSH_SIGNATURES = 1 << 19       # signatures that a map task holds before it deals them out
+MEMBER_BYTES = 4 << 20           # payload that a reduce task unpacks at once
 _COEFF = np.array([mix_int(1001 + j) | 1 for j in range(64)], dtype=np.uint64)
 
 
@@ -132,15 +135,18 @@ def _pack(sig, owner, heads, led) -> bytes:
     return b"".join((np.array([len(sets), len(sig)], "<u4").tobytes(), head.tobytes(), sig.tobytes(), led.astype("u1").tobytes()))
 
 
-def _unpack(raw: bytes) -> np.ndarray:
+def _unpack(raw, piece: int = 0, pieces: int = 1) -> np.ndarray:
+    """The signatures of a payload whose upper half falls in ``piece`` of ``pieces`` even ranges, each with its set."""
     n, m = (int(x) for x in np.frombuffer(raw, "<u4", 2))
     head = np.frombuffer(raw, _HEAD, n, 8)
-    out = np.empty(m, _ENTRY)
     at = 8 + n * _HEAD.itemsize
-    out["sig"] = np.frombuffer(raw, "<u8", m, at)
-    out["led"] = np.frombuffer(raw, "u1", m, at + 8 * m)
+    sig, led = np.frombuffer(raw, "<u8", m, at), np.frombuffer(raw, "u1", m, at + 8 * m)
+    mine = np.flatnonzero(((sig >> np.uint64(32)) * np.uint64(pieces)) >> np.uint64(32) == np.uint64(piece))
+    owner = head[np.repeat(np.arange(n, dtype=np.uint32), head["count"])[mine]]
+    out = np.empty(len(mine), _ENTRY)
+    out["sig"], out["led"] = sig[mine], led[mine]
     for k in ("hi", "lo", "cls", "need"):
-        out[k] = np.repeat(head[k], head["count"])
+        out[k] = owner[k]
     return out
 
 
@@ -196,14 +202,25 @@ def _emit(buckets: int, threshold: int, n_words: int):
     return run
 
 
-def _members(table_: pa.Table) -> pa.Table:
-    """Reduce side: (gid, cls, sid, need, weight) of signatures that two sets share; groups of equal members are one."""
-    plain, found = [], []
-    for p, a in zip(table_.column("payload").to_pylist(), table_.column("attached").to_pylist()):
-        (found if a else plain).append(_unpack(p))
+def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Reduce side: (gid, cls, sid, need, weight) of signatures that two sets share.
+
+    The bucket stays packed and is unpacked by ranges of signatures, each of about ``MEMBER_BYTES``.  Groups of equal members are
+    one within a range; the caller sums the weights of those of several ranges and buckets.
+    """
+    packed = [(p.as_buffer(), a.as_py()) for batch in batches for p, a in zip(batch.column("payload"), batch.column("attached"))]
+    pieces = 1 + sum(raw.size for raw, _ in packed) // MEMBER_BYTES
+    for piece in range(pieces):
+        yield _shared([_unpack(raw, piece, pieces) for raw, attached in packed if not attached],
+                      [_unpack(raw, piece, pieces) for raw, attached in packed if attached])
+
+
+def _shared(plain: list[np.ndarray], found: list[np.ndarray]) -> pa.RecordBatch:
+    """Members of the signatures that two sets share; ``found``: sets that a leader stands for, members in any case."""
     gids, weights = [x["sig"] for x in found], [np.ones(len(x), np.int32) for x in found]
     if plain:
         e = np.concatenate(plain)
+        plain.clear()
         e = e[np.argsort(e["sig"], kind="stable")]
         sizes = np.diff(np.append(_runs(e["sig"]), len(e)))
         led = np.maximum.reduceat(e["led"], _runs(e["sig"])) > 0 if len(e) else np.empty(0, bool)
@@ -226,9 +243,9 @@ def _members(table_: pa.Table) -> pa.Table:
     flat = np.ascontiguousarray(np.stack((e["hi"], e["lo"]), axis=1)).astype("<u8")
     ends = np.arange(0, 16 * len(gid) + 1, 16, dtype=np.int32)
     sid = pa.Array.from_buffers(pa.binary(), len(gid), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(flat.tobytes())])
-    return pa.table({"gid": pa.array(gid.view(np.int64)), "cls": pa.array(e["cls"].astype(np.int32)), "sid": sid,
-                     "need": pa.array(e["need"].astype(np.int32)),
-                     "weight": pa.array(np.concatenate(weights) if weights else np.empty(0, np.int32))})
+    return pa.RecordBatch.from_pydict({"gid": pa.array(gid.view(np.int64)), "cls": pa.array(e["cls"].astype(np.int32)), "sid": sid,
+                                       "need": pa.array(e["need"].astype(np.int32)),
+                                       "weight": pa.array(np.concatenate(weights) if weights else np.empty(0, np.int32))})
 
 
 def possible_members(members: DataFrame) -> DataFrame:

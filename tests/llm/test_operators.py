@@ -398,3 +398,23 @@ def test_url_filter_counts_roots_by_weight(spark):
     assert url_filter.filter_urls(pages.limit(0)).count() == 0
     with pytest.raises(ValueError):
         url_filter.filter_urls(pages, soft=((1, ("a", "b")), (2, ("b",))))
+
+
+def test_ngram_members_are_unpacked_by_ranges(rows, monkeypatch):
+    """A bucket is never unpacked whole: its members are the same whatever the size of a range, and a range holds a part of them."""
+    import pyarrow as pa
+    docs = pa.RecordBatch.from_pydict({"doc_id": pa.array([i for i, _ in rows], pa.int64()), "text": pa.array([t for _, t in rows], pa.string())})
+    dealt = list(ngram_join._emit(1, 80, 5)([docs]))
+
+    def members():
+        out, most = {}, 0
+        for batch in ngram_join._members(iter(dealt)):
+            most = max(most, len(batch))
+            for r in batch.to_pylist():
+                key = (r["gid"], r["cls"], r["sid"], r["need"])
+                out[key] = out.get(key, 0) + r["weight"]
+        return out, most
+    whole, largest = members()
+    monkeypatch.setattr(ngram_join, "MEMBER_BYTES", 2_000)
+    parts, part = members()
+    assert parts == whole and whole and part < largest
