@@ -3,8 +3,8 @@
 ``MAX`` cannot be taken back: when the greatest value of a cell is voided, the wide row alone does not say which value is
 next.  The state therefore holds, per group and cell, each distinct value with the number of rows that have it.  An
 increment is the signed difference of the changed rows: what they were counts -1, what they are counts +1; rows that
-did not change in what the pivot reads cancel out before they are shuffled.  Only the groups in the difference
-are folded again, and flat rows of other obs are not read.
+did not change in what the pivot reads cancel out.  Only the groups in the difference
+are folded again: the rest of the state is read but not shuffled, and flat rows of other obs are not read.
 
 A cell is named by (concept, family, answer), not by a column, and every value of a row is counted, whether or not
 its column exists yet.  So a family that a concept gains later finds the values of its older rows in the state (rule a), and a
@@ -16,9 +16,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.joins import null_safe_keys
+from ..operators.joins import rows_with_keys, rows_without_keys
 from ..sources.changes import ChangeTable, SignedCounts
-from .pivot import (MAX_BROADCAST_CATALOG, CatalogEntry, PivotSpec, catalog_frame, catalog_rows,
+from .pivot import (MAX_BROADCAST_CATALOG, CatalogEntry, PivotSpec, by_group, catalog_frame, catalog_rows,
                     project_folded)
 
 # families -> the state's column for their values
@@ -43,7 +43,8 @@ def count_cells(flat: DataFrame, spec: PivotSpec = PivotSpec(), sign: int = 1) -
     for family in VALUES:
         value = spec.value_col(family)
         entries.append(F.when(concept.isNotNull() & F.col(value).isNotNull(), _entry(family, spec, value, concept, none)))
-    rows = flat.select(*spec.keys, F.explode(F.array_compact(F.array(*entries))).alias("e")).select(*spec.keys, "e.*")
+    # a flat row is shuffled once, by its group, and not once for each of its entries
+    rows = by_group(flat, spec).select(*spec.keys, F.explode(F.array_compact(F.array(*entries))).alias("e")).select(*spec.keys, "e.*")
     return rows.groupBy(*spec.keys, "concept", "family", "answer", *[n for n, _ in VALUES.values()]) \
                .agg((F.count(F.lit(1)) * sign).alias("n"))
 
@@ -72,31 +73,27 @@ def fold_state(state: DataFrame, catalog: list[CatalogEntry], spec: PivotSpec =
         cat = F.broadcast(cat)
     cells = state.join(cat, (F.col("concept") == F.col("__concept")) & (F.col("family") == F.col("__family"))
                        & (F.coalesce("answer", F.lit("")) == F.col("__answer")), "left")
-    # first by cell: the many values of a hot group are spread over its cells
+    # one shuffle, by the group, for both steps: first by cell, so that what a group gathers is bounded by the columns
     agg = {name: spec.agg(family, F.col(name)) for family, (name, _) in VALUES.items()}
-    by_cell = cells.groupBy(*spec.keys, "__cid").agg(
-        F.max(F.when(F.col("family") == ROW, F.col("ts"))).alias("__created"),
-        F.max(F.when(F.col("family") == "coded", F.lit(1))).alias("one"), *[c.alias(n) for n, c in agg.items()])
+    cells = cells.select(*spec.keys, "__cid", F.when(F.col("family") == ROW, F.col("ts")).alias("__created"),
+                         F.when(F.col("family") == "coded", F.lit(1)).alias("one"), *agg).repartition(*spec.keys)
+    by_cell = cells.groupBy(*spec.keys, "__cid").agg(F.max("__created").alias("__created"), F.max("one").alias("one"), *[c.alias(n) for n, c in agg.items()])
     entry = F.when(F.col("__cid").isNotNull(), F.struct(F.col("__cid").alias("k"), F.struct("one", *agg).alias("v")))
     folded = by_cell.groupBy(*spec.keys).agg(
         *([F.max("__created").alias("date_created")] if spec.created else []), F.map_from_entries(F.collect_list(entry)).alias("__m"))
     return project_folded(folded, catalog, spec)
 
 
-def _of_groups(df: DataFrame, groups: DataFrame, keys, how: str) -> DataFrame:
-    g = groups.select(*[F.col(k).alias("__g_" + k) for k in keys])
-    return df.join(g, null_safe_keys(df, g, list(keys), ["__g_" + k for k in keys]), how)
-
-
-def touched_groups(state: DataFrame, delta: DataFrame, old: list[CatalogEntry], new: list[CatalogEntry], spec: PivotSpec) -> DataFrame:
-    """Groups of the difference, and groups that hold values for a column that the catalog has gained."""
+def touched_groups(state, delta: DataFrame, old: list[CatalogEntry], new: list[CatalogEntry], spec: PivotSpec) -> DataFrame:
+    """Groups of the difference, and groups that hold values for a column that the catalog has gained.  ``state``: function of the
+    cut that the state is read with."""
     groups = delta.select(*spec.keys)
     had = {(e.concept, e.family, e.answer) for e in old}
     grown = [e for e in new if e.family != "coded" and (e.concept, e.family, e.answer) not in had]
     if grown:
-        g = catalog_frame(state.sparkSession, grown).select("concept", "family")
+        g = catalog_frame(delta.sparkSession, grown).select("concept", "family")
         g = F.broadcast(g) if len(grown) <= MAX_BROADCAST_CATALOG else g
-        groups = groups.unionByName(state.join(g, ["concept", "family"], "left_semi").select(*spec.keys))
+        groups = groups.unionByName(state(lambda df: df.join(g, ["concept", "family"], "left_semi")).select(*spec.keys))
     return groups.distinct()
 
 
@@ -121,8 +118,9 @@ class CellStore:
     def number(self) -> int:
         return min(self.cells.last(), self.types.last())
 
-    def state(self) -> DataFrame:
-        return self.cells.read(self.number())
+    def state(self, only=None) -> DataFrame:
+        """The counted cells; ``only`` cuts them down by what names a cell before the changes are merged."""
+        return self.cells.read(self.number(), only)
 
     def found(self) -> list:
         """The discovered (concept, family, answer) with safe name parts: one row per column, the only thing collected."""
@@ -152,14 +150,14 @@ class CellStore:
 
 def refresh_wide_cells(wide_old: DataFrame, old: list[CatalogEntry], store: CellStore, delta: DataFrame) -> tuple[DataFrame, list[CatalogEntry]]:
     """The stored wide table with the touched groups folded anew from the state."""
-    from .incremental import align_columns
-    spec, found, state = store.spec, store.found(), store.state()
+    from .incremental import _staged, align_columns
+    spec, found = store.spec, store.found()
     new = catalog_rows(found, spec)
     if not found or not old:               # nothing emitted now, or nothing emitted before: rule (e)
         return store.wide(), new
-    groups = touched_groups(state, delta, old, new, spec)
-    fresh = fold_state(_of_groups(state, groups, spec.keys, "left_semi"), new, spec)
-    kept = _of_groups(align_columns(wide_old, old, new, spec), groups, spec.keys, "left_anti")
+    groups = _staged(touched_groups(store.state, delta, old, new, spec), "touched_groups")
+    fresh = fold_state(store.state(lambda df: rows_with_keys(df, groups, spec.keys, null_safe=True)), new, spec)
+    kept = rows_without_keys(align_columns(wide_old, old, new, spec), groups, spec.keys, null_safe=True)
     return kept.unionByName(fresh), new
 
 

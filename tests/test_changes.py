@@ -4,8 +4,9 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from chartfold.plans.cells import CellStore, refresh_wide_cells
-from chartfold.plans.pivot import PivotSpec, widen
+from chartfold.operators.joins import rows_by_key_filter
+from chartfold.plans.cells import CellStore, count_cells, refresh_wide_cells
+from chartfold.plans.pivot import PivotSpec, build_catalog, widen
 from chartfold.session import scratch_path
 from chartfold.sources import changes
 from chartfold.sources.changes import ChangeTable, LatestRow, SignedCounts
@@ -168,3 +169,51 @@ def test_a_run_that_died_between_the_tables(spark):
     assert store.wide().collect() == widen(old).collect()                # still the last number that both tables hold
     store.apply(old, new)
     assert store.wide().collect() == widen(new).collect()
+
+
+def _exchanged(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_unchanged_counts_are_not_folded_again(spark):
+    """Base rows that the changes do not name pass by the fold: only the key filter's hits are shuffled."""
+    t = ChangeTable(spark, "n", SignedCounts(), root=scratch_path(spark, "test-changes"))
+    t.write(spark.range(20_000).select(F.col("id").cast("string").alias("k"), F.lit(1).cast("long").alias("n")))
+    t.append(spark.createDataFrame([("7", -1), ("8", 1), ("new", 2)], "k string, n long"))
+    hits = [r for r in t.read().collect() if r.k in ("7", "8", "new")]
+    assert sorted(map(tuple, hits)) == [("8", 2), ("new", 2)] and t.read().count() == 20_000
+    base, folders = t._live()
+    free, hit = rows_by_key_filter(spark.read.parquet(t._folder("v", base)), t._changes(folders), ["k"])
+    assert hit.count() < 100 and free.count() + hit.count() == 20_000
+    assert "Union" in _exchanged(t.read())
+
+
+def test_a_base_with_repeated_rows_is_stored_once_each(spark):
+    t = ChangeTable(spark, "n", SignedCounts(), root=scratch_path(spark, "test-changes"))
+    t.write(spark.createDataFrame([("a", 1), ("a", 1), (None, 1), (None, 2)], "k string, n long"))
+    t.append(spark.createDataFrame([("b", 1), (None, -3)], "k string, n long"))
+    assert sorted(map(tuple, t.read().collect())) == [("a", 2), ("b", 1)]
+
+
+def test_counted_cells_shuffle_a_group_once(spark):
+    """Counting shuffles flat rows, not their entries; and the fold needs one shuffle for both its steps."""
+    store = CellStore(spark, scratch_path(spark, "test-cells"))
+    flat = flat_df(spark, [obs(1, 10, "Weight", num=5.0, obs_id=1), obs(2, 20, "Result", coded=1, answer="Yes", obs_id=2)])
+    counted = count_cells(flat)
+    assert _exchanged(counted).count("Exchange hashpartitioning") == 1
+    store.build(flat)
+    assert _exchanged(store.wide()).count("Exchange hashpartitioning") == 1
+
+
+def test_stored_rows_are_sorted_once(spark):
+    flat = flat_df(spark, [obs(1, 10, "Note", text="b", obs_id=1), obs(1, 10, "Note", text="a", obs_id=2), obs(2, 20, "Weight", num=1.0, obs_id=3)])
+    path = scratch_path(spark, "test-flat")
+    flat.write.parquet(path)
+    stored = spark.read.parquet(path)
+    cat = build_catalog(stored)
+    for strategy in ("conditional", "long"):
+        plan = widen(stored, catalog=cat, strategy=strategy, stored=True)
+        text = _exchanged(plan)                              # before it runs: the final plan would stand beside it
+        assert text.count("Exchange hashpartitioning") == 1
+        assert "Sort [" not in text[text.index("Exchange hashpartitioning"):]        # nothing is sorted below the shuffle
+        assert shown(plan) == shown(widen(stored, catalog=cat, strategy=strategy))
