@@ -68,13 +68,12 @@ def train_domains(docs: DataFrame, labels: DataFrame, label: str = "quality", cl
     return fit(np.array([r.x for r in made], float).reshape(-1, TEXT_FEATURES), np.array([r.y for r in made], int), classes)
 
 
-def _posteriors(model):
-    def run(batches):
-        for batch in batches:
-            p = posteriors(model, text_features(batch.column("text")))
-            yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("tokens"), pa.array(list(p), pa.list_(pa.float64()))],
-                                             names=["row", "tokens", "p"])
-    return run
+def _placed(model):
+    """Posteriors of a text.  Only texts go to Python; not deterministic to Spark, so that a filter on the result does not run it again."""
+    @F.arrow_udf("array<double>")
+    def place(text: pa.Array) -> pa.Array:
+        return pa.array(list(posteriors(model, text_features(text))), pa.list_(pa.float64()))
+    return place.asNondeterministic()
 
 
 def _rates(p: np.ndarray, steps: list[np.ndarray]) -> np.ndarray:
@@ -95,18 +94,19 @@ def _totals(steps, classes):
             total += (x * t) @ p
             live = p * ((x > 0) * t)[:, None]
             gram += live.T @ p
-        yield pa.RecordBatch.from_arrays([pa.array([i for i in range(classes * (classes + 1))], pa.int32()),
-                                          pa.array(np.concatenate((total, gram.ravel())), pa.float64())], names=["i", "v"])
+        sums = np.concatenate((total, gram.ravel())).tolist()
+        yield pa.RecordBatch.from_arrays([pa.array([v], pa.float64()) for v in sums], names=[f"v{i}" for i in range(len(sums))])
     return run
 
 
 def fit_rates(weights: DataFrame, targets: list[float], rounds: int = ROUNDS, tolerance: float = TOLERANCE) -> list[np.ndarray]:
     """Steps of the projected gradient rounds over (tokens, p); they give every document its rate."""
     k, steps, goal = len(targets), [], np.array(targets, float)
+    names = [f"v{i}" for i in range(k + k * k)]
     for _ in range(rounds):
-        sums = {r.i: r.v for r in weights.mapInArrow(_totals(steps, k), "i int, v double").groupBy("i").agg(F.sum("v").alias("v")).collect()}
-        total = np.array([sums.get(i, 0.0) for i in range(k)])
-        gram = np.array([sums.get(i, 0.0) for i in range(k, k + k * k)]).reshape(k, k)
+        made = weights.mapInArrow(_totals(steps, k), ", ".join(f"{c} double" for c in names))
+        sums = np.array([v or 0.0 for v in made.agg(*[F.sum(c) for c in names]).first()])
+        total, gram = sums[:k], sums[k:].reshape(k, k)
         gap = goal - total
         if np.abs(gap).max() <= tolerance * max(1.0, goal.sum()) or not gram.any():
             break
@@ -115,13 +115,13 @@ def fit_rates(weights: DataFrame, targets: list[float], rounds: int = ROUNDS, to
     return steps
 
 
-def _rate_rows(steps, classes):
-    def run(batches):
-        for batch in batches:
-            p = np.array(batch.column("p").to_pylist(), float).reshape(-1, classes)
-            yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("tokens"), batch.column("p"), pa.array(_rates(p, steps), pa.float64())],
-                                             names=["row", "tokens", "p", "rate"])
-    return run
+def _rated(model, steps):
+    """Posteriors and rate of a text, in one call: a document goes to one Python worker, once."""
+    @F.arrow_udf("struct<p: array<double>, rate: double>")
+    def rate(text: pa.Array) -> pa.Array:
+        p = posteriors(model, text_features(text))
+        return pa.StructArray.from_arrays([pa.array(list(p), pa.list_(pa.float64())), pa.array(_rates(p, steps), pa.float64())], names=["p", "rate"])
+    return rate.asNondeterministic()
 
 
 def mix(docs: DataFrame, model: dict, shares=TARGETS) -> DataFrame:
@@ -134,12 +134,12 @@ def mix(docs: DataFrame, model: dict, shares=TARGETS) -> DataFrame:
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     frame = docs.select(whole, text.alias("text"), F.size(F.array_remove(F.split(text, r"\s+"), "")).cast("long").alias("tokens"))
-    kind = frame.schema["row"].dataType.simpleString()
-    placed = frame.mapInArrow(_posteriors(model), f"row {kind}, tokens long, p array<double>")
-    weights = durable(placed.select("tokens", "p"))
+    weights = durable(frame.select("tokens", _placed(model)("text").alias("p")))
+    # a pass reads three numbers a document: a task a core, not one for every partition of the texts, many times over
+    weights = weights.coalesce(max(1, docs.sparkSession.sparkContext.defaultParallelism))
     total = weights.agg(F.sum("tokens")).first()[0] or 0
     steps = fit_rates(weights, [s / sum(shares) * total for s in shares])
-    return placed.mapInArrow(_rate_rows(steps, len(shares)), f"row {kind}, tokens long, p array<double>, rate double")
+    return frame.select("row", "tokens", _rated(model, steps)("text").alias("r")).select("row", "tokens", "r.p", "r.rate")
 
 
 def copies(doc_id, rate, salt: str = "mix"):
