@@ -13,6 +13,7 @@ from __future__ import annotations
 import re
 from bisect import bisect_right
 from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -320,13 +321,14 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> dict:
 
 
 def _score(model: dict):
-    def run(batches):
+    """Score of a text.  Only texts go to Python; not deterministic to Spark, so that a filter on the score does not run it again."""
+    @F.arrow_udf("double")
+    def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         scorer = Scorer(model["lexicon"])
-        for batch in batches:
-            x = np.array([scorer.features(t.as_py() or "") for t in batch.column("text")], float).reshape(-1, Scorer.N)
-            score = posteriors(model["model"], x)[:, 1] if len(x) else np.empty(0)
-            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(score, pa.float64())], names=["row", "score"])
-    return run
+        for texts in batches:
+            x = np.array([scorer.features(t.as_py() or "") for t in texts], float).reshape(-1, Scorer.N)
+            yield pa.array(posteriors(model["model"], x)[:, 1] if len(x) else np.empty(0), pa.float64())
+    return score.asNondeterministic()
 
 
 def score_texts(docs: DataFrame, model: dict) -> DataFrame:
@@ -336,9 +338,7 @@ def score_texts(docs: DataFrame, model: dict) -> DataFrame:
     stay inside ``row``.  Long texts are read whole.
     """
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    frame = docs.select(whole, F.col("text").cast("string").alias("text"))
-    kind = frame.schema["row"].dataType.simpleString()
-    return frame.mapInArrow(_score(model), f"row {kind}, score double")
+    return docs.select(whole, _score(model)(F.col("text").cast("string")).alias("score"))
 
 
 def held_out(doc_id):

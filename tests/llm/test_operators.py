@@ -294,6 +294,26 @@ def test_mixing_meets_targets(spark):
     assert (x >= 0).all() and np.allclose((x * t) @ p, np.array([0.1, 0.9]) * t.sum(), rtol=1e-4)
 
 
+def test_only_texts_go_to_python(spark):
+    """Rows stay in Spark while their texts are scored, each once, and a filter on the result does not score them again."""
+    docs = frame(spark, [(i, "some words here " * (i % 5)) for i in range(40)]).repartition(40)
+    model = {"mean": np.zeros(mixing.TEXT_FEATURES), "scale": np.ones(mixing.TEXT_FEATURES), "w": np.zeros((mixing.TEXT_FEATURES + 1, 2))}
+    score = {"lexicon": [], "model": {"mean": np.zeros(toxicity.Scorer.N), "scale": np.ones(toxicity.Scorer.N), "w": np.zeros((toxicity.Scorer.N + 1, 2))}}
+    for df in (mixing.mix(docs, model).where("rate >= 0"), toxicity.score_texts(docs, score).where("score < 0.9")):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "MapInArrow" not in plan and plan.count("ArrowEvalPython") == 1
+        assert df.count() == 40
+        assert df.select("row.*").exceptAll(docs).isEmpty()
+
+
+def test_mixing_rounds_read_a_partition_a_core(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(mixing, "fit_rates", lambda weights, *a: seen.append(weights.rdd.getNumPartitions()) or [])
+    mixing.mix(frame(spark, [(i, "a b") for i in range(64)]).repartition(64),
+               {"mean": np.zeros(mixing.TEXT_FEATURES), "scale": np.ones(mixing.TEXT_FEATURES), "w": np.zeros((mixing.TEXT_FEATURES + 1, 2))})
+    assert seen == [spark.sparkContext.defaultParallelism]
+
+
 @pytest.mark.parametrize("name", sorted(n for n in queries.registry() if n not in ("op5_warc_derivatives", "op9_url_filter")))
 def test_empty_tables(spark, tmp_path, name):
     folder = str(tmp_path)
