@@ -94,3 +94,13 @@ def test_landed_tables_are_read_by_snapshots(spark, small_dir):
             a, b = src.at(as_of).table(name), plain.at(as_of).table(name)
             assert not any("lineitem" in f or "orders" in f for f in a.inputFiles())
             assert a.columns == b.columns and _sorted(a) == _sorted(b)
+
+
+def test_a_filter_for_many_keys_stays_sparse(spark, monkeypatch):
+    """Its bits follow the number of keys where that is known: few rows without a match go through the exact join."""
+    monkeypatch.setattr(joins, "FILTER_BITS", 1 << 12)
+    assert joins.filter_bits() == 1 << 12 and joins.filter_bits(5000) == 1 << 16 and joins.filter_bits(1 << 40) == joins.MOST_FILTER_BITS
+    df, other = spark.range(20000).withColumnRenamed("id", "k"), spark.range(5000).withColumnRenamed("id", "k")
+    free, joined = joins.parts_without_keys(df, other, ["k"], n_keys=5000)
+    assert free.count() > 13000 and sorted(r[0] for r in free.unionByName(joined).collect()) == list(range(5000, 20000))
+    assert joins.parts_without_keys(df, other, ["k"])[0].count() < 8000

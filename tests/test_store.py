@@ -375,3 +375,49 @@ def test_a_store_without_reports_says_so(spark, world):
     bare.build_full(world)
     with pytest.raises(ValueError):
         bare.report_states()
+
+
+def _flat_writes(monkeypatch):
+    """[(dealt, optimized plan)] of every write of the flat table from now on."""
+    seen, write = [], WideStore._write
+
+    def spy(self, df, table, run, by, dealt=False):
+        if table == "flat":
+            seen.append((dealt, df._jdf.queryExecution().optimizedPlan().toString()))
+        return write(self, df, table, run, by, dealt)
+    monkeypatch.setattr(WideStore, "_write", spy)
+    return seen
+
+
+def _one_more_obs(spark, world):
+    return with_tables(world, obs=world["obs"].unionByName(table(spark, "obs", [obs_row(7, 10, 100, LATER, value_numeric=66.0)])))
+
+
+def test_kept_rows_of_a_rewritten_month_are_not_dealt_again(spark, world, store, monkeypatch):
+    seen, now = _flat_writes(monkeypatch), _one_more_obs(spark, world)
+    store.increment(now)
+    (dealt, plan), = seen
+    assert dealt and plan.count("RebalancePartitions") == 1
+    assert "LeftAnti" in plan.split("RebalancePartitions")[1].splitlines()[1]     # only what the exact join has dealt by id
+    assert_like_rebuild(store, now)
+
+
+def test_every_so_many_commits_kept_rows_are_dealt_again(spark, world, store, monkeypatch):
+    monkeypatch.setattr(refresh, "DEAL_KEPT", 2)
+    seen, now = _flat_writes(monkeypatch), _one_more_obs(spark, world)
+    store.increment(now)                                     # commit 2
+    store.increment(now)
+    assert [dealt for dealt, _ in seen] == [False, True]
+    assert_like_rebuild(store, now)
+
+
+@pytest.mark.parametrize("large", [False, True])
+def test_flat_rows_are_dealt_before_the_dictionaries_are_joined(spark, world, monkeypatch, large):
+    from chartfold.plans import flatten
+    if large:                                                # dictionaries that are not broadcast: dealt after their joins
+        monkeypatch.setattr(flatten, "bounded_broadcasts", list)
+    flat = flatten_observations(world, source_ids=True, by=(refresh.PART, refresh.part_month("e_date")))
+    plain = flatten_observations(world, source_ids=True).withColumn(refresh.PART, refresh.part_month())
+    assert flat.columns == plain.columns and _same(flat, plain)
+    above = flat._jdf.queryExecution().optimizedPlan().toString().split("RebalancePartitions")[0]
+    assert above.count("Join LeftOuter") == (0 if large else 5)
