@@ -2,6 +2,7 @@
 import datetime as dt
 import re
 import shutil
+import threading
 
 import pytest
 from pyspark.sql import functions as F
@@ -421,3 +422,32 @@ def test_flat_rows_are_dealt_before_the_dictionaries_are_joined(spark, world, mo
     assert flat.columns == plain.columns and _same(flat, plain)
     above = flat._jdf.queryExecution().optimizedPlan().toString().split("RebalancePartitions")[0]
     assert above.count("Join LeftOuter") == (0 if large else 5)
+
+
+def test_an_increment_holds_one_key_filter_and_one_job_at_a_time(spark, world, store, monkeypatch):
+    """What the driver holds of a running plan: the broadcasts of its key filters and of plans beside it."""
+    filters, threads, staged, write = {}, set(), WideStore._staged, WideStore._write
+
+    def held(df):
+        return df._jdf.queryExecution().optimizedPlan().toString().count("bit_or(")
+
+    def staging(self, df, name):
+        filters[name] = held(df)
+        return staged(self, df, name)
+
+    def writing(self, df, table, run, by, dealt=False):
+        threads.add((threading.get_ident(), held(df) if table == "index" else 0))
+        return write(self, df, table, run, by, dealt)
+    monkeypatch.setattr(WideStore, "_staged", staging)
+    monkeypatch.setattr(WideStore, "_write", writing)
+    at, enc, visit = F.lit(LATER).cast("timestamp_ntz"), F.col("encounter_id") == 13, F.col("visit_id") == 6
+    now = _one_more_obs(spark, world)                        # changed obs, and obs of a changed encounter and a changed visit
+    now["encounter"] = world["encounter"].withColumns({
+        "visit_id": F.when(enc, 6).otherwise(F.col("visit_id")), "date_created": F.when(enc, at).otherwise(F.col("date_created"))})
+    now["visit"] = world["visit"].withColumns({
+        "date_started": F.when(visit, F.lit(dt.datetime(2023, 12, 30)).cast("timestamp_ntz")).otherwise(F.col("date_started")),
+        "date_created": F.when(visit, at).otherwise(F.col("date_created"))})
+    store.increment(now)
+    assert max(filters.values()) == 1 and filters["obs"] == 1 and filters["fresh"] == 0
+    assert threads == {(threading.get_ident(), 0)}
+    assert_like_rebuild(store, now)
